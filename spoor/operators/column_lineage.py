@@ -123,8 +123,8 @@ def projected_columns(
     )
 
 
-def _writes_of(w: DataFrame, root: str) -> DataFrame:
-    return w.filter(F.col("query_root") == root)
+def _writes_of(w: DataFrame, *roots: str) -> DataFrame:
+    return w.filter(F.col("query_root").isin(*roots))
 
 
 def _select_lists(columns: DataFrame, w: DataFrame, p: DataFrame) -> DataFrame:
@@ -152,13 +152,13 @@ def computed_columns(
 
 
 def copied_columns(w, i, rc, ns=c.DEFAULT_NAMESPACE, accepted=ACCEPTED) -> DataFrame:
-    """Whole-table copies: every column to the same name.
+    """Whole-table copies, where the query is an accepted relation itself.
 
     Columns of the same name count once. ``out_pos`` is the column's id, which orders
     them as in the table.
     """
     at = ["write_id", "leaf_pos"]
-    leaves = write_inputs(_writes_of(w, c.HIVE_RELATION), i, accepted)
+    leaves = write_inputs(_writes_of(w, *accepted), i, accepted)
     keep = [name for name in w.columns if name not in ("write_id", "query_root")]
     columns = (
         rc.join(leaves.select(at), at, "left_semi")

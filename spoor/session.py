@@ -24,13 +24,12 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder on the storage all executors share.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session may do
-    without: there one is made and the setting is filled in.
+    without; it gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="spoor-")
-        spark.conf.set("spark.checkpoint.dir", root)
     name = spark.sql("SELECT uuid()").first()[0]
     return f"{root.rstrip('/')}/spoor-{name}"

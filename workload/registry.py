@@ -1,9 +1,9 @@
 """All registered queries and, where SQL can say it, what they must return."""
 
-from workload import lineage_queries, message_queries
+from workload import lineage_queries, message_queries, stream_queries
 from workload.sql import statement
 
-MODULES = (lineage_queries, message_queries)
+MODULES = (lineage_queries, message_queries, stream_queries)
 
 QUERIES = {name: run for module in MODULES for name, run in module.QUERIES.items()}
 ORACLE = {
