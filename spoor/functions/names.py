@@ -21,10 +21,19 @@ def input_table_name(db: Column, table: Column, ns: str) -> Column:
     return table_name(F.coalesce(db, F.lit(c.DEFAULT_INPUT_DATABASE)), table, ns)
 
 
+def relation_name(db: Column, table: Column) -> Column:
+    """Lower-cased ``db.table`` of a read table."""
+    db = F.coalesce(db, F.lit(c.DEFAULT_INPUT_DATABASE))
+    return F.lower(F.concat(db, F.lit("."), table))
+
+
+def column_of_relation(relation: Column, column: Column, ns: str) -> Column:
+    return F.concat(relation, F.lit("."), F.lower(column), F.lit("@" + ns.lower()))
+
+
 def input_column_name(db: Column, table: Column, column: Column, ns: str) -> Column:
     """``db.table.col@ns``, lower-cased as a whole, namespace included."""
-    db = F.coalesce(db, F.lit(c.DEFAULT_INPUT_DATABASE))
-    return F.lower(F.concat(db, F.lit("."), table, F.lit("."), column, F.lit("@" + ns)))
+    return column_of_relation(relation_name(db, table), column, ns)
 
 
 def output_column_name(db: Column, table: Column, column: Column, ns: str) -> Column:

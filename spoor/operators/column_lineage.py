@@ -4,17 +4,19 @@
 leaves, ``p`` the top-level select list and ``pl`` the leaves of its entries.
 
 ``rc`` is the biggest table. It is shuffled on ``(write_id, expr_id)`` and meets only
-the ids the select lists refer to; names are built for the matches alone.
+the ids the select lists refer to. Entries and their matches then share one shuffle on
+``(write_id, block of positions)``, on which they are grouped and joined to their write;
+names are built last, from the write's list of relations.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoor import constants as c
 from spoor.functions import names, text
 from spoor.operators.relations import ACCEPTED, input_relations, with_column_name
-from spoor.operators.spread import position_block, spread_join
-from spoor.operators.table_lineage import named_writes, write_inputs
+from spoor.operators.spread import position_block
+from spoor.operators.table_lineage import named_writes, relation_lists
 
 # Order of an entry's own id, before all its leaves.
 OWN = -1
@@ -73,45 +75,90 @@ def with_dependency_type(cl: DataFrame) -> DataFrame:
     ).withColumn("expression", F.when(~simple, printed))
 
 
+def _found(refs: DataFrame, rc: DataFrame) -> DataFrame:
+    """References with the relation column of their id, accepted or not."""
+    columns = rc.select("write_id", "leaf_pos", "expr_id", "col_name")
+    return refs.join(columns, ["write_id", "expr_id"]).select(
+        "write_id", "out_pos", "leaf_ord", F.struct("leaf_pos", "col_name").alias("column")
+    )
+
+
+def _relation_names() -> Column:
+    """Leaf position to lower-cased ``db.table`` for the write's accepted relations."""
+    return F.map_from_entries(
+        F.transform(
+            "leaves",
+            lambda leaf: F.struct(
+                leaf["leaf_pos"], names.relation_name(leaf["in_db"], leaf["in_table"])
+            ),
+        )
+    )
+
+
+def _column_name(column: Column, ns: str) -> Column:
+    """Name of a found column, null when its relation is not accepted."""
+    relation = F.try_element_at("relations", column["leaf_pos"])
+    return names.column_of_relation(relation, column["col_name"], ns)
+
+
 def projected_columns(
-    i: DataFrame,
+    w: DataFrame,
     rc: DataFrame,
     p: DataFrame,
     pl: DataFrame | None,
     ns: str = c.DEFAULT_NAMESPACE,
     strip_ids: bool = False,
-    accepted=ACCEPTED,
 ) -> DataFrame:
-    """Select-list entries with their input columns, direct and computed in one pass."""
+    """Select-list entries of the writes ``w`` with their inputs, direct and computed.
+
+    ``w`` has the write's accepted relations in ``leaves``, as ``relation_lists`` gives
+    them; its other columns are kept.
+    """
+    block = position_block(F.col("out_pos"))
     refs = own_references(p)
     if pl is not None:
         refs = refs.unionByName(leaf_references(pl))
-    own = F.col("leaf_ord") == OWN
-    matches = (
-        matched_references(refs, i, rc, ns, accepted)
-        .groupBy("write_id", "out_pos")
-        # A set, because one relation may be listed twice below a union; the leaf
-        # order in the struct keeps real repeats.
-        .agg(
-            F.max(F.when(own, F.col("column_name"))).alias("direct"),
-            F.collect_set(F.when(~own, F.struct("leaf_ord", "column_name"))).alias("leaves"),
-        )
-    )
     entries = expression_text(p, strip_ids).select(
         "write_id", "out_pos", "out_name", "n_children", "expression"
     )
-    is_direct = F.col("direct").isNotNull()
-    computed = F.transform(F.array_sort("leaves"), lambda x: x["column_name"])
-    none = F.array().cast("array<string>")
+    together = (
+        entries.unionByName(_found(refs, rc), allowMissingColumns=True)
+        .withColumn("_block", block)
+        .repartition("write_id", "_block")
+    )
+    own = F.col("leaf_ord") == OWN
+    grouped = together.groupBy("write_id", "_block", "out_pos").agg(
+        F.max("out_name").alias("out_name"),
+        F.max("n_children").alias("n_children"),
+        F.max("expression").alias("expression"),
+        F.max(F.when(own, F.col("column"))).alias("own"),
+        # A set, because one relation may be listed twice below a union.
+        F.collect_set(F.when(~own, F.struct("leaf_ord", "column"))).alias("found"),
+    )
+    blocks = p.select("write_id", block.alias("_block")).distinct()
+    w = w.withColumn("relations", _relation_names()).drop("leaves")
+    joined = grouped.join(blocks.join(w, "write_id"), ["write_id", "_block"]).drop("_block")
+
+    direct = _column_name(F.col("own"), ns)
+    named = F.transform(
+        "found",
+        lambda x: F.struct(
+            x["leaf_ord"].alias("leaf_ord"), _column_name(x["column"], ns).alias("name")
+        ),
+    )
+    accepted = F.array_sort(F.array_distinct(F.filter(named, lambda x: x["name"].isNotNull())))
     resolved = (
-        entries.join(matches, ["write_id", "out_pos"], "left")
-        .withColumn("is_direct", is_direct)
+        joined.withColumn("direct", F.when(F.col("own").isNotNull(), direct))
+        .withColumn("is_direct", F.col("direct").isNotNull())
         .filter(F.col("is_direct") | (F.col("n_children") > 0))
         .withColumn(
             "input_columns",
-            F.when(is_direct, F.array("direct")).otherwise(F.coalesce(computed, none)),
+            F.when(F.col("is_direct"), F.array("direct")).otherwise(
+                F.transform(accepted, lambda x: x["name"])
+            ),
         )
     )
+    keep = [name for name in w.columns if name not in ("write_id", "query_root", "relations")]
     return with_dependency_type(resolved).select(
         "write_id",
         F.col("out_pos").cast("long").alias("out_pos"),
@@ -120,63 +167,78 @@ def projected_columns(
         "input_columns",
         "dependency_type",
         "expression",
+        *keep,
     )
 
 
-def _writes_of(w: DataFrame, *roots: str) -> DataFrame:
+def _with_root(w: DataFrame, *roots: str) -> DataFrame:
     return w.filter(F.col("query_root").isin(*roots))
 
 
-def _select_lists(columns: DataFrame, w: DataFrame, p: DataFrame) -> DataFrame:
-    """Columns of the given writes whose query is a projection."""
-    block = position_block(F.col("out_pos"))
-    return spread_join(columns, _writes_of(w, c.PROJECT_ROOT), ["write_id"], block, layout=p)
-
-
 def direct_columns(w, i, rc, p, ns=c.DEFAULT_NAMESPACE, accepted=ACCEPTED) -> DataFrame:
     """Entries that are a relation's column as it is."""
-    direct = projected_columns(i, rc, p, None, ns, accepted=accepted).filter("is_direct")
-    return _select_lists(direct, w.select("write_id", "query_root"), p).drop(
-        "query_root", "is_direct"
+    lists = _with_root(w, c.PROJECT_ROOT).select("write_id").join(
+        relation_lists(i, accepted), "write_id"
     )
+    return projected_columns(lists, rc, p, None, ns).filter("is_direct").drop("is_direct")
 
 
 def computed_columns(
     w, i, rc, p, pl, ns=c.DEFAULT_NAMESPACE, strip_ids=False, accepted=ACCEPTED
 ) -> DataFrame:
     """Renames and expressions, with every owned leaf in order."""
-    computed = projected_columns(i, rc, p, pl, ns, strip_ids, accepted).filter("NOT is_direct")
-    return _select_lists(computed, w.select("write_id", "query_root"), p).drop(
-        "query_root", "is_direct"
+    # Without accepted relations an expression still is one, with no inputs.
+    lists = _with_root(w, c.PROJECT_ROOT).select("write_id").join(
+        relation_lists(i, accepted), "write_id", "left"
     )
+    columns = projected_columns(lists, rc, p, pl, ns, strip_ids)
+    return columns.filter("NOT is_direct").drop("is_direct")
 
 
-def copied_columns(w, i, rc, ns=c.DEFAULT_NAMESPACE, accepted=ACCEPTED) -> DataFrame:
+def copied_columns(w, rc, ns=c.DEFAULT_NAMESPACE, accepted=ACCEPTED) -> DataFrame:
     """Whole-table copies, where the query is an accepted relation itself.
 
-    Columns of the same name count once. ``out_pos`` is the column's id, which orders
-    them as in the table.
+    ``w`` is as in ``projected_columns``. Columns of the same name count once.
+    ``out_pos`` is the column's id, which orders them as in the table.
     """
-    at = ["write_id", "leaf_pos"]
-    leaves = write_inputs(_writes_of(w, *accepted), i, accepted)
-    keep = [name for name in w.columns if name not in ("write_id", "query_root")]
-    columns = (
-        rc.join(leaves.select(at), at, "left_semi")
-        .groupBy(*at, "col_name")
-        .agg(F.min("expr_id").alias("out_pos"))
+    keep = [name for name in w.columns if name not in ("write_id", "query_root", "leaves")]
+    relations = _with_root(w, *accepted).select("write_id", *keep, F.inline("leaves"))
+    columns = rc.select("write_id", "leaf_pos", "expr_id", "col_name").join(
+        relations, ["write_id", "leaf_pos"]
     )
     name = names.input_column_name(F.col("in_db"), F.col("in_table"), F.col("col_name"), ns)
-    return columns.join(leaves, at).select(
-        "write_id",
-        F.col("out_pos").cast("long").alias("out_pos"),
-        F.col("col_name").alias("out_name"),
-        F.array(name).alias("input_columns"),
-        F.lit(c.SIMPLE).alias("dependency_type"),
-        F.lit(None).cast("string").alias("expression"),
-        *keep,
+    # All but the id depends on the first three, so the rows are hashed, not sorted.
+    same = ["write_id", "leaf_pos", "col_name", "in_db", "in_table", *keep]
+    return (
+        columns.groupBy(*same)
+        .agg(F.min("expr_id").alias("out_pos"))
+        .select(
+            "write_id",
+            F.col("out_pos").cast("long").alias("out_pos"),
+            F.col("col_name").alias("out_name"),
+            F.array(name).alias("input_columns"),
+            F.lit(c.SIMPLE).alias("dependency_type"),
+            F.lit(None).cast("string").alias("expression"),
+            *keep,
+        )
     )
 
 
+def lineage_columns(
+    named: DataFrame,
+    rc: DataFrame,
+    p: DataFrame,
+    pl: DataFrame,
+    ns: str = c.DEFAULT_NAMESPACE,
+    strip_ids: bool = False,
+    accepted=ACCEPTED,
+) -> DataFrame:
+    """Projected and copied columns of ``named`` writes, whose other columns are kept."""
+    projected = projected_columns(_with_root(named, c.PROJECT_ROOT), rc, p, pl, ns, strip_ids)
+    copied = copied_columns(named, rc, ns, accepted)
+    return projected.drop("is_direct").unionByName(copied)
+
+
 def column_lineage(
     w: DataFrame,
     i: DataFrame,
@@ -191,9 +253,10 @@ def column_lineage(
 
     ``process_name`` refers to the process of the write.
     """
-    writes = named_writes(w, i, ns, accepted).select(
+    named = named_writes(w, i, ns, accepted).select(
         "write_id",
         "query_root",
+        "leaves",
         "output_db",
         "out_table",
         "output_table",
@@ -201,11 +264,7 @@ def column_lineage(
         "sorted_inputs",
         "exec_ts",
     )
-    projected = _select_lists(
-        projected_columns(i, rc, p, pl, ns, strip_ids, accepted), writes, p
-    )
-    copied = copied_columns(writes, i, rc, ns, accepted)
-    columns = projected.drop("query_root", "is_direct").unionByName(copied)
+    columns = lineage_columns(named, rc, p, pl, ns, strip_ids, accepted)
     database, table, column = F.col("output_db"), F.col("out_table"), F.col("out_name")
     label = names.column_process_label(database, table, column, ns)
 

@@ -4,8 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoor import constants as c
+from spoor.functions import names
 from spoor.functions.times import epoch_millis
 from spoor.operators.spread import position_block, spread_join
+from spoor.operators.table_lineage import process_records
 
 # One struct for both entity kinds, so they fit one array; JSON leaves nulls out.
 # The misspelt name is the catalog's.
@@ -63,8 +65,7 @@ def _entity(type_name: str, position: Column, values: dict, inputs, outputs, que
     )
 
 
-def process_entities(tl: DataFrame) -> DataFrame:
-    """``hive_process`` entities from table lineage."""
+def _process_entity(tl: DataFrame) -> Column:
     values = {
         "qualifiedName": F.col("qualified_name"),
         "name": F.col("name"),
@@ -79,7 +80,7 @@ def process_entities(tl: DataFrame) -> DataFrame:
         "clusterName": F.col("cluster_name"),
     }
     no_query = object_ref(F.lit(""), c.PROCESS_TYPE, c.COLUMN_LINEAGE_RELATIONSHIP)
-    entity = _entity(
+    return _entity(
         c.PROCESS_TYPE,
         F.lit(PROCESS_POS).cast("long"),
         values,
@@ -87,11 +88,49 @@ def process_entities(tl: DataFrame) -> DataFrame:
         object_refs(F.array("output_table"), c.TABLE_TYPE, c.OUTPUTS_RELATIONSHIP),
         F.when(F.lit(False), no_query),
     )
+
+
+def _column_entity(
+    position: Column,
+    qualified_name: Column,
+    name: Column,
+    millis: Column,
+    dependency_type: Column,
+    expression: Column,
+    input_columns: Column,
+    output_column: Column,
+    process_name: Column,
+) -> Column:
+    values = {
+        "qualifiedName": qualified_name,
+        "name": name,
+        "startTime": millis,
+        "endTime": millis,
+        "depenendencyType": dependency_type,
+        "expression": expression,
+    }
+    return _entity(
+        c.COLUMN_LINEAGE_TYPE,
+        position,
+        values,
+        object_refs(input_columns, c.COLUMN_TYPE, c.INPUTS_RELATIONSHIP),
+        object_refs(F.array(output_column), c.COLUMN_TYPE, c.OUTPUTS_RELATIONSHIP),
+        object_ref(
+            process_name,
+            c.PROCESS_TYPE,
+            c.COLUMN_LINEAGE_RELATIONSHIP,
+            _guid(F.lit(PROCESS_POS)),
+        ),
+    )
+
+
+def process_entities(tl: DataFrame) -> DataFrame:
+    """``hive_process`` entities from table lineage."""
     return tl.select(
         "write_id",
         F.col("output_table").alias("msg_key"),
         F.lit(PROCESS_POS).cast("long").alias("pos"),
-        entity.alias("entity"),
+        _process_entity(tl).alias("entity"),
     )
 
 
@@ -103,26 +142,16 @@ def process_references(cl: DataFrame, tl: DataFrame, layout: DataFrame | None =
 
 def column_entities(cl: DataFrame) -> DataFrame:
     """``hive_column_lineage`` entities from columns with a ``process_name``."""
-    values = {
-        "qualifiedName": F.col("qualified_name"),
-        "name": F.col("name"),
-        "startTime": epoch_millis(cl, "exec_ts"),
-        "endTime": epoch_millis(cl, "exec_ts"),
-        "depenendencyType": F.col("dependency_type"),
-        "expression": F.col("expression"),
-    }
-    entity = _entity(
-        c.COLUMN_LINEAGE_TYPE,
+    entity = _column_entity(
         F.col("out_pos"),
-        values,
-        object_refs(F.col("input_columns"), c.COLUMN_TYPE, c.INPUTS_RELATIONSHIP),
-        object_refs(F.array("output_column"), c.COLUMN_TYPE, c.OUTPUTS_RELATIONSHIP),
-        object_ref(
-            F.col("process_name"),
-            c.PROCESS_TYPE,
-            c.COLUMN_LINEAGE_RELATIONSHIP,
-            _guid(F.lit(PROCESS_POS)),
-        ),
+        F.col("qualified_name"),
+        F.col("name"),
+        epoch_millis(cl, "exec_ts"),
+        F.col("dependency_type"),
+        F.col("expression"),
+        F.col("input_columns"),
+        F.col("output_column"),
+        F.col("process_name"),
     )
     return cl.select("write_id", F.col("out_pos").alias("pos"), entity.alias("entity"))
 
@@ -131,7 +160,8 @@ def bundle_entities(pe: DataFrame, ce: DataFrame) -> DataFrame:
     """Per write its process, then its columns in order: the content of one message.
 
     A bundle is one value by definition, so a write's entities end in one row; map
-    tasks combine their share before the shuffle.
+    tasks combine their share before the shuffle. ``bundle_columns`` gives the same
+    from unfinished records and shuffles less.
     """
     entry = F.struct("pos", "entity")
     return (
@@ -146,6 +176,47 @@ def bundle_entities(pe: DataFrame, ce: DataFrame) -> DataFrame:
     )
 
 
+def bundle_columns(
+    named: DataFrame, columns: DataFrame, ns: str = c.DEFAULT_NAMESPACE
+) -> DataFrame:
+    """The bundles of ``named_writes`` and their ``lineage_columns``.
+
+    Only what differs between the columns of a write is shuffled; the long names, which
+    repeat the write's inputs, are built in the bundle itself.
+    """
+    record = F.struct("out_pos", "out_name", "input_columns", "dependency_type", "expression")
+    listed = columns.groupBy("write_id").agg(F.collect_list(record).alias("columns"))
+    processes = process_records(
+        named, ns, "output_db", "out_table", "sorted_inputs", "write_mode"
+    ).join(listed, "write_id", "left")
+    millis = epoch_millis(processes, "start_time")
+    database, table = F.col("output_db"), F.col("out_table")
+
+    def column_entity(record: Column) -> Column:
+        label = names.column_process_label(database, table, record["out_name"], ns)
+        return _column_entity(
+            record["out_pos"],
+            names.process_name(F.col("sorted_inputs"), F.col("write_mode"), label),
+            label,
+            millis,
+            record["dependency_type"],
+            record["expression"],
+            record["input_columns"],
+            names.output_column_name(database, table, record["out_name"], ns),
+            F.col("qualified_name"),
+        )
+
+    process = F.array(_process_entity(processes))
+    ordered = F.transform(F.array_sort("columns"), column_entity)
+    return processes.select(
+        "write_id",
+        F.col("output_table").alias("msg_key"),
+        F.when(F.col("columns").isNull(), process)
+        .otherwise(F.concat(process, ordered))
+        .alias("entities"),
+    )
+
+
 def hook_notifications(bundles: DataFrame, user: str) -> DataFrame:
     """The create request of every bundle."""
     message = F.struct(

@@ -25,45 +25,46 @@ def table_edges(
     return edges.select("write_id", "leaf_pos", "input_table", "output_table")
 
 
-def input_lists(i: DataFrame, ns: str = c.DEFAULT_NAMESPACE, accepted=ACCEPTED) -> DataFrame:
-    """Per write its inputs in leaf order, and joined by bare table name.
+def relation_lists(i: DataFrame, accepted=ACCEPTED) -> DataFrame:
+    """Per write its accepted relations in leaf order, as one array ``leaves``.
 
-    Both are single values of the result, so one write's inputs end up in one row;
-    map tasks combine their share before the shuffle.
+    The process name holds all of them and is one value of the result, so one write's
+    relations end up in one row; map tasks combine their share before the shuffle.
     """
-    named = with_input_name(input_relations(i, accepted), ns)
-    leaf = F.struct("leaf_pos", "input_table")
-    by_position = F.array_sort("leaves")
-    by_name = F.array_sort(
-        F.transform(
-            "leaves",
-            lambda x: F.struct(
-                names.input_sort_key(x["input_table"]).alias("key"),
-                x["leaf_pos"].alias("leaf_pos"),
-                x["input_table"].alias("input_table"),
-            ),
-        )
-    )
+    leaf = F.struct("leaf_pos", "in_db", "in_table")
     return (
-        named.groupBy("write_id")
-        .agg(F.collect_list(leaf).alias("leaves"))
-        .select(
-            "write_id",
-            F.transform(by_position, lambda x: x["input_table"]).alias("input_tables"),
-            F.array_join(F.transform(by_name, lambda x: x["input_table"]), ":").alias(
-                "sorted_inputs"
-            ),
-        )
+        input_relations(i, accepted)
+        .groupBy("write_id")
+        .agg(F.array_sort(F.collect_set(leaf)).alias("leaves"))
     )
 
 
 def named_writes(
     w: DataFrame, i: DataFrame, ns: str = c.DEFAULT_NAMESPACE, accepted=ACCEPTED
 ) -> DataFrame:
-    """Writes with output name, mode and input lists; writes without inputs drop out."""
-    return with_write_mode(with_output_name(w, ns)).join(
-        input_lists(i, ns, accepted), "write_id"
+    """Writes with output name, mode and inputs; writes without inputs drop out.
+
+    ``input_tables`` is in leaf order, ``sorted_inputs`` joined by bare table name.
+    """
+    lists = relation_lists(i, accepted).withColumn(
+        "input_tables",
+        F.transform("leaves", lambda x: names.input_table_name(x["in_db"], x["in_table"], ns)),
+    )
+    # The position keeps the order of inputs that share a name.
+    by_name = F.array_sort(
+        F.transform(
+            "input_tables",
+            lambda table, position: F.struct(
+                names.input_sort_key(table).alias("key"),
+                position.alias("position"),
+                table.alias("table"),
+            ),
+        )
     )
+    lists = lists.withColumn(
+        "sorted_inputs", F.array_join(F.transform(by_name, lambda x: x["table"]), ":")
+    )
+    return with_write_mode(with_output_name(w, ns)).join(lists, "write_id")
 
 
 def process_names(
@@ -76,19 +77,15 @@ def process_names(
     )
 
 
-def table_lineage(
-    w: DataFrame, i: DataFrame, ns: str = c.DEFAULT_NAMESPACE, accepted=ACCEPTED
-) -> DataFrame:
-    """One process record per write; ``w`` carries its ``operation_type``."""
-    named = named_writes(w, i, ns, accepted)
+def process_records(named: DataFrame, ns: str, *keep: str) -> DataFrame:
+    """One process record per row of ``named_writes``, with the columns ``keep``."""
     query = F.lower("sql_text")
+    target = names.process_name(F.col("sorted_inputs"), F.col("write_mode"), F.col("output_table"))
     return named.select(
         "write_id",
         "input_tables",
         "output_table",
-        names.process_name(
-            F.col("sorted_inputs"), F.col("write_mode"), F.col("output_table")
-        ).alias("qualified_name"),
+        target.alias("qualified_name"),
         F.col("output_table").alias("name"),
         F.lit(c.PROCESS_USER).alias("user_name"),
         F.col("exec_ts").alias("start_time"),
@@ -99,9 +96,17 @@ def table_lineage(
         F.when(F.col("sql_text").isNotNull(), F.array(query)).alias("recent_queries"),
         F.lit(c.QUERY_PLAN).alias("query_plan"),
         F.lit(ns).alias("cluster_name"),
+        *keep,
     )
 
 
+def table_lineage(
+    w: DataFrame, i: DataFrame, ns: str = c.DEFAULT_NAMESPACE, accepted=ACCEPTED
+) -> DataFrame:
+    """One process record per write; ``w`` carries its ``operation_type``."""
+    return process_records(named_writes(w, i, ns, accepted), ns)
+
+
 def rejected_writes(w: DataFrame, i: DataFrame, accepted=ACCEPTED) -> DataFrame:
     """Writes without any accepted input: nothing can be derived for them."""
     known = input_relations(i, accepted).select("write_id").distinct()

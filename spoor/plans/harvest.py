@@ -13,7 +13,10 @@ from spoor.sources.capture import Capture
 
 @dataclass(frozen=True)
 class Harvest:
-    """What was derived from a set of writes."""
+    """What was derived from a set of writes.
+
+    ``bundles`` has the entities of every write, process first.
+    """
 
     table_edges: DataFrame
     table_lineage: DataFrame
@@ -21,13 +24,7 @@ class Harvest:
     column_edges: DataFrame
     rejected: DataFrame
     unsupported: DataFrame
-
-    def bundles(self) -> DataFrame:
-        """The entities of every write, process first."""
-        return entities.bundle_entities(
-            entities.process_entities(self.table_lineage),
-            entities.column_entities(self.column_lineage),
-        )
+    bundles: DataFrame
 
 
 def harvest(
@@ -45,23 +42,20 @@ def harvest(
     if normalize_case:
         ns = ns.lower()
         w, i = writes.lower_case_names(w, i)
-    cl = columns.column_lineage(
-        w,
-        i,
-        capture.relation_columns,
-        capture.projections,
-        capture.projection_leaves,
-        ns,
-        strip_ids,
-        accepted,
+    rc, p, pl = capture.relation_columns, capture.projections, capture.projection_leaves
+    cl = columns.column_lineage(w, i, rc, p, pl, ns, strip_ids, accepted)
+    named = table_lineage.named_writes(w, i, ns, accepted)
+    bare = columns.lineage_columns(
+        named.select("write_id", "query_root", "leaves"), rc, p, pl, ns, strip_ids, accepted
     )
     return Harvest(
         table_edges=table_lineage.table_edges(w, i, ns, accepted),
-        table_lineage=table_lineage.table_lineage(w, i, ns, accepted),
+        table_lineage=table_lineage.process_records(named, ns),
         column_lineage=cl,
         column_edges=columns.column_edges(cl),
         rejected=table_lineage.rejected_writes(w, i, accepted),
         unsupported=writes.unsupported_writes(writes.successful(capture.writes)),
+        bundles=entities.bundle_columns(named, bare, ns),
     )
 
 

@@ -62,7 +62,7 @@ def lineage_messages(
     """
 
     def send(result: Harvest, batch_id: int) -> None:
-        asked = hook_notifications(result.bundles(), user)
+        asked = hook_notifications(result.bundles, user)
         sent = messages_of(asked, run_id, source_ip, user, created_ms, max_bytes)
         publish(sent, sink, properties, dead_letters)
 

@@ -224,8 +224,10 @@ FROM (SELECT * FROM direct_column UNION ALL SELECT * FROM computed_column)
 GROUP BY dependency_type, out_name""")
 def dependency_types(spark, sf):
     cap = fx.capture(spark, sf)
+    written = cap.writes.select("write_id")
+    lists = written.join(table_lineage.relation_lists(cap.inputs), "write_id", "left")
     entries = cols.projected_columns(
-        cap.inputs, cap.relation_columns, cap.projections, cap.projection_leaves
+        lists, cap.relation_columns, cap.projections, cap.projection_leaves
     )
     return entries.groupBy("dependency_type", "out_name").agg(
         F.count("*").alias("n_columns"), F.count("expression").alias("n_expressions")
@@ -339,7 +341,8 @@ def computed_columns(spark, sf):
 SELECT d.* FROM copied_column d JOIN harvestable w ON d.write_id = w.write_id""")
 def copied_columns(spark, sf):
     w = _harvestable(spark, sf).select("write_id", "query_root")
-    return _text(cols.copied_columns(w, fx.inputs(spark, sf), fx.relation_columns(spark, sf)))
+    lists = w.join(table_lineage.relation_lists(fx.inputs(spark, sf)), "write_id")
+    return _text(cols.copied_columns(lists, fx.relation_columns(spark, sf)))
 
 
 LINEAGE_SQL = """

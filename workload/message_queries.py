@@ -134,9 +134,7 @@ FROM lineage_table t LEFT JOIN lineage_column l ON t.write_id = l.write_id
 GROUP BY t.write_id, t.output_table"""
 
 
-@query(BUNDLE_SQL)
-def entity_bundles(spark, sf):
-    bundles = harvest(fx.capture(spark, sf)).bundles()
+def _contents(bundles):
     later = F.slice("entities", F.lit(2), F.size("entities"))
     names = F.transform(later, lambda entity: entity["attributes"]["name"])
     return bundles.select(
@@ -147,13 +145,25 @@ def entity_bundles(spark, sf):
     )
 
 
+@query(BUNDLE_SQL)
+def entity_bundles(spark, sf):
+    return _contents(harvest(fx.capture(spark, sf)).bundles)
+
+
+@query(BUNDLE_SQL)
+def bundled_entities(spark, sf):
+    found = harvest(fx.capture(spark, sf))
+    pe = entities.process_entities(found.table_lineage)
+    return _contents(entities.bundle_entities(pe, entities.column_entities(found.column_lineage)))
+
+
 @query("""
 SELECT t.write_id AS msg_seq, t.output_table AS msg_key, 'ENTITY_CREATE_V2' AS type, 'spark' AS user_name,
        t.qualified_name AS first_name, 1 + count(l.write_id) AS n_entities
 FROM lineage_table t LEFT JOIN lineage_column l ON t.write_id = l.write_id
 GROUP BY t.write_id, t.output_table, t.qualified_name""")
 def hook_notifications(spark, sf):
-    bundles = harvest(fx.capture(spark, sf)).bundles()
+    bundles = harvest(fx.capture(spark, sf)).bundles
     sent = entities.hook_notifications(bundles, "spark").withColumn("json", F.to_json("message"))
     return sent.select(
         "msg_seq",
@@ -368,7 +378,7 @@ FROM lineage_table t LEFT JOIN lineage_column l ON t.write_id = l.write_id
 GROUP BY t.write_id, t.output_table, t.qualified_name""")
 def published_lineage(spark, sf):
     # From capture to outbox and back; the limit makes many messages compressed or split.
-    bundles = harvest(fx.capture(spark, sf)).bundles()
+    bundles = harvest(fx.capture(spark, sf)).bundles
     asked = entities.hook_notifications(bundles, "spark")
     sent = outbox(messages_of(asked, RUN_ID, "10.0.0.1", "spark", 1700000000000, 2000))
     listed = "$.message.entities.entities"
