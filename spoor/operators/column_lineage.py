@@ -207,10 +207,12 @@ def copied_columns(w, rc, ns=c.DEFAULT_NAMESPACE, accepted=ACCEPTED) -> DataFram
         relations, ["write_id", "leaf_pos"]
     )
     name = names.input_column_name(F.col("in_db"), F.col("in_table"), F.col("col_name"), ns)
-    # All but the id depends on the first three, so the rows are hashed, not sorted.
+    # All but the id depends on the first three, so the rows are hashed, not sorted. The
+    # shuffle spreads the columns of one relation and leaves the join free to be split.
     same = ["write_id", "leaf_pos", "col_name", "in_db", "in_table", *keep]
     return (
-        columns.groupBy(*same)
+        columns.repartition("write_id", "leaf_pos", "col_name")
+        .groupBy(*same)
         .agg(F.min("expr_id").alias("out_pos"))
         .select(
             "write_id",

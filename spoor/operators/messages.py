@@ -138,18 +138,21 @@ def compress_large(msgs: DataFrame, max_bytes: int = c.MAX_MESSAGE_BYTES) -> Dat
 
 
 def read_parts(received: DataFrame) -> DataFrame:
-    """Adds the envelope fields of ``value`` and ``n_parts``."""
+    """Adds what the envelope in ``value`` says of its part."""
+    fields = {
+        "msg_id": "part.msgId",
+        "compression": "part.msgCompressionKind",
+        "split_idx": "part.msgSplitIdx",
+        "split_count": "part.msgSplitCount",
+        "body": "part.message",
+    }
+    others = [name for name in received.columns if name not in fields]
     return received.withColumn("part", F.from_json("value", PART_SCHEMA)).select(
-        *received.columns,
-        F.col("part.msgId").alias("msg_id"),
-        F.col("part.msgCompressionKind").alias("compression"),
-        F.col("part.msgSplitIdx").alias("split_idx"),
-        F.col("part.msgSplitCount").alias("split_count"),
-        F.col("part.message").alias("body"),
+        *others, *[F.col(field).alias(name) for name, field in fields.items()]
     )
 
 
-def _gathered(parts: DataFrame) -> DataFrame:
+def _gathered(parts: DataFrame, carry: list[str]) -> DataFrame:
     # A set, because a part may have been sent twice.
     return (
         parts.filter(F.col("msg_id").isNotNull())
@@ -158,28 +161,32 @@ def _gathered(parts: DataFrame) -> DataFrame:
             F.max("split_count").alias("split_count"),
             F.max("compression").alias("compression"),
             F.collect_set(F.struct("split_idx", "body")).alias("parts"),
+            *[F.max(name).alias(name) for name in carry],
         )
     )
 
 
-def reassemble(parts: DataFrame) -> DataFrame:
-    """Complete messages from their parts: ``(msg_id, msg_json)``.
+def reassemble(parts: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Complete messages from their parts: ``(msg_id, msg_json)`` and ``carry``.
 
     ``msg_json`` is null where the bytes are corrupt; see ``rejected_messages``.
+    Columns to carry have one value per message, as its key.
     """
-    complete = _gathered(parts).filter(F.size("parts") == F.col("split_count"))
+    carry = carry or []
+    complete = _gathered(parts, carry).filter(F.size("parts") == F.col("split_count"))
     joined = F.array_join(F.transform(F.array_sort("parts"), lambda part: part["body"]), "")
     data = complete.withColumn("_data", F.try_to_binary(joined, F.lit("base64")))
     zipped = F.col("compression") == c.GZIP
     data = data.withColumn("_plain", codec.gunzip_bytes(F.when(zipped, F.col("_data"))))
     plain = F.when(zipped, F.col("_plain")).otherwise(F.col("_data"))
-    return data.select("msg_id", F.try_validate_utf8(plain.cast("string")).alias("msg_json"))
+    text_or_null = F.try_validate_utf8(plain.cast("string"))
+    return data.select("msg_id", text_or_null.alias("msg_json"), *carry)
 
 
 def rejected_messages(parts: DataFrame) -> DataFrame:
     """Messages that cannot be put together, with the reason."""
     missing = (
-        _gathered(parts)
+        _gathered(parts, [])
         .filter(F.size("parts") != F.col("split_count"))
         .select("msg_id", F.lit("missing_parts").alias("reason"))
     )

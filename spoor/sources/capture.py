@@ -15,7 +15,7 @@ ENTRY = (
     "struct<out_pos:int,out_name:string,expr_id:bigint,n_children:int,expr_text:string,"
     f"leaves:array<{LEAF}>>"
 )
-# One executed write with all it read, for streams.
+# One executed write with all it read, for streams. Ids may be of any type that sorts.
 RECORD_SCHEMA = (
     "write_id bigint, thread_id bigint, exec_ts timestamp, status string, "
     "command_class string, out_db string, current_db string, out_table string, "
@@ -90,8 +90,12 @@ def nest(capture: Capture) -> DataFrame:
         at_entry,
         "leaves",
     )
-    inputs = capture.inputs.join(columns, at_leaf, "left")
-    entries = capture.projections.join(leaves, at_entry, "left")
-    return capture.writes.join(listed(inputs, ["write_id"], "inputs"), "write_id", "left").join(
-        listed(entries, ["write_id"], "projections"), "write_id", "left"
-    )
+
+    def joined(df: DataFrame, lists: DataFrame, keys: list[str], name: str) -> DataFrame:
+        return df.join(lists, keys, "left").withColumn(name, F.coalesce(name, F.array()))
+
+    inputs = joined(capture.inputs, columns, at_leaf, "columns")
+    entries = joined(capture.projections, leaves, at_entry, "leaves")
+    key = ["write_id"]
+    records = joined(capture.writes, listed(inputs, key, "inputs"), key, "inputs")
+    return joined(records, listed(entries, key, "projections"), key, "projections")

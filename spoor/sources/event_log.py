@@ -6,7 +6,7 @@ A session is captured by turning its event log on, with plans written in full:
     spark.sql.ui.explainMode=extended
     spark.sql.debug.maxToStringFields=100000
 
-The log then holds the plan of every write, and ``capture_from_log`` reads from its
+The log then holds the plan of every write, and ``records_from_log`` reads from its
 printed lines what the write read and which columns it selected.
 """
 
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spoor import constants as c
-from spoor.sources.capture import Capture
 
 # Event names and section heads of Spark's log.
 EVENTS = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
@@ -28,6 +27,8 @@ EVENT_SCHEMA = (
     "Event string, executionId bigint, rootExecutionId bigint, time bigint, "
     "description string, physicalPlanDescription string, errorMessage string"
 )
+# How plan lines are indented below their parents.
+INDENT = r"^[\s:|+-]+"
 LOGICAL_RELATION = "LogicalRelation"
 # How a whole-table read is printed, and the relation class it stands for.
 PRINTED_RELATIONS = {"Relation": LOGICAL_RELATION, c.HIVE_RELATION: c.HIVE_RELATION}
@@ -140,7 +141,7 @@ def scan_event_log(
 
 def _identifier_part(identifier: Column, from_end: int) -> Column:
     parts = F.split(F.translate(identifier, "`", ""), "[.]")
-    return F.when(F.size(parts) >= from_end, F.element_at(parts, -from_end))
+    return F.try_element_at(parts, F.lit(-from_end))
 
 
 def _entries(printed: Column) -> Column:
@@ -189,18 +190,76 @@ def _printed_columns(printed: Column, is_partition: bool) -> Column:
     )
 
 
+def _printed_input(line: Column, position: Column) -> Column:
+    """A leaf relation from its printed line."""
+    is_hive = line.startswith(c.HIVE_RELATION)
+    identifier = F.when(is_hive, F.regexp_extract(line, r"((?:`[^`]+`\.?)+)", 1)).otherwise(
+        F.regexp_extract(line, r"^Relation ([^\[]+)\[", 1)
+    )
+    data = F.when(is_hive, F.regexp_extract(line, r"Data Cols: \[([^\]]*)\]", 1)).otherwise(
+        F.regexp_extract(line, r"^Relation [^\[]+\[(.*)\] ", 1)
+    )
+    partition = F.regexp_extract(line, r"Partition Cols: \[([^\]]*)\]", 1)
+    return F.struct(
+        position.alias("leaf_pos"),
+        F.when(is_hive, c.HIVE_RELATION).otherwise(LOGICAL_RELATION).alias("relation_class"),
+        _identifier_part(identifier, 2).alias("in_db"),
+        _identifier_part(identifier, 1).alias("in_table"),
+        F.concat(_printed_columns(data, False), _printed_columns(partition, True)).alias("columns"),
+    )
+
+
+def _printed_entry(entry: Column, position: Column) -> Column:
+    """A select-list entry from its printed text: a bare column or an alias."""
+    alias, bare = r"(?s)^(.*) AS (.+?)#(\d+)L?$", r"(?s)^(.+)#(\d+)L?$"
+    is_alias = entry.rlike(alias)
+
+    def part(alias_group: int, bare_group: int) -> Column:
+        return F.when(is_alias, F.regexp_extract(entry, alias, alias_group)).otherwise(
+            F.regexp_extract(entry, bare, bare_group)
+        )
+
+    expression = F.when(is_alias, F.regexp_extract(entry, alias, 1))
+    ids = F.regexp_extract_all(F.coalesce(expression, entry), F.lit(r"#(\d+)"), F.lit(1))
+    leaves = F.transform(
+        ids,
+        lambda found, order: F.struct(
+            order.alias("leaf_ord"),
+            F.lit("AttributeReference").alias("leaf_class"),
+            found.cast("bigint").alias("leaf_expr_id"),
+        ),
+    )
+    return F.struct(
+        position.alias("out_pos"),
+        part(2, 1).alias("out_name"),
+        part(3, 2).try_cast("bigint").alias("expr_id"),
+        is_alias.cast("int").alias("n_children"),
+        expression.alias("expr_text"),
+        leaves.alias("leaves"),
+    )
+
+
+def _optimized() -> Column:
+    return F.substring_index(F.substring_index("plan", OPTIMIZED, -1), PHYSICAL, 1)
+
+
+def _problem() -> Column:
+    """Why a plan cannot be read, null when it can."""
+    cut = _optimized().rlike(r"\.\.\. \d+ more fields")
+    return F.when(~F.col("plan").contains(OPTIMIZED), "no_optimized_plan").when(cut, "cut_plan")
+
+
 def _write_lines(log: DataFrame) -> DataFrame:
     """Executions that carry a supported write: command, target, query lines."""
-    section = F.substring_index(F.substring_index("plan", OPTIMIZED, -1), PHYSICAL, 1)
     command = "|".join(c.OPERATION_TYPES)
-    head = F.col("lines")[0]
+    head = F.get("lines", F.lit(0))
     named = F.regexp_extract(head, r"\w+ ((?:`[^`]+`\.?)+)", 1)
     hive_db = F.regexp_extract(head, r"\[Database: ([^,]*), TableName: ", 1)
     hive_table = F.regexp_extract(head, r", TableName: ([^,\]]+)", 1)
     is_nested = F.col("execution_id") != F.col("root_execution_id")
     return (
-        log.filter(F.col("plan").contains(OPTIMIZED))
-        .withColumn("lines", F.split(section, "\n"))
+        log.filter(_problem().isNull())
+        .withColumn("lines", F.split(_optimized(), "\n"))
         .withColumn("command_class", F.regexp_extract(head, rf"^\s*({command})\b", 1))
         .filter(F.col("command_class") != "")
         # The insert a create-table-as-select runs inside is the same write again.
@@ -213,31 +272,40 @@ def _write_lines(log: DataFrame) -> DataFrame:
             "out_db",
             F.when(named != "", _identifier_part(named, 2)).when(hive_db != "", hive_db),
         )
-        .withColumn("query_line", F.regexp_replace(F.col("lines")[1], r"^[\s:|+-]+", ""))
+        .withColumn("query_line", F.coalesce(F.regexp_replace(F.get("lines", F.lit(1)), INDENT, ""), F.lit("")))
         .withColumn(
             "leaf_lines",
             F.filter(
-                F.transform("lines", lambda line: F.regexp_replace(line, r"^[\s:|+-]+", "")),
+                F.transform("lines", lambda line: F.regexp_replace(line, INDENT, "")),
                 lambda line: line.rlike(r"^(Relation [^\[\s]+\[|HiveTableRelation \[)"),
             ),
         )
     )
 
 
-def capture_from_log(log: DataFrame, current_db: str = "default") -> Capture:
-    """Capture tables of the writes in ``executions``.
+def unreadable_writes(log: DataFrame) -> DataFrame:
+    """Writes whose plan was not printed in full, so no lineage can be read from it."""
+    return log.select("app_id", "execution_id", _problem().alias("reason")).filter(
+        "reason IS NOT NULL"
+    )
+
+
+def records_from_log(log: DataFrame, current_db: str = "default") -> DataFrame:
+    """Nested write records of the writes in ``executions``, without any shuffle.
 
-    Harvest them with ``accepted=LOG_RELATIONS`` to see file-based tables too. The
+    ``unnest`` turns them into capture tables; store them first, so the log is read
+    once. Harvest with ``accepted=LOG_RELATIONS`` to see file-based tables too. The
     statement text is the execution's description, which is the text in the SQL shell
     or whatever the session set as job description.
     """
     found = _write_lines(log)
     root = F.regexp_extract("query_line", r"^(\w+)", 1)
-    for printed, relation_class in PRINTED_RELATIONS.items():
-        root = F.when(
-            F.regexp_extract("query_line", r"^(\w+)", 1) == printed, relation_class
-        ).otherwise(root)
-    writes = found.select(
+    relation_class = F.lit(None).cast("string")
+    for printed, name in PRINTED_RELATIONS.items():
+        relation_class = F.when(root == printed, name).otherwise(relation_class)
+    select_list = F.regexp_extract("query_line", r"^Project \[(.*)\]$", 1)
+    is_project = F.col("query_line").startswith("Project [")
+    return found.select(
         "write_id",
         F.lit(None).cast("bigint").alias("thread_id"),
         F.col("end_ts").alias("exec_ts"),
@@ -246,61 +314,11 @@ def capture_from_log(log: DataFrame, current_db: str = "default") -> Capture:
         "out_db",
         F.lit(current_db).alias("current_db"),
         "out_table",
-        root.alias("query_root"),
+        F.coalesce(relation_class, root).alias("query_root"),
         F.col("description").alias("sql_text"),
         F.lit(None).cast("string").alias("run_user"),
+        F.transform("leaf_lines", _printed_input).alias("inputs"),
+        F.when(is_project, F.transform(_entries(select_list), _printed_entry)).alias(
+            "projections"
+        ),
     )
-
-    leaves = found.select("write_id", F.posexplode("leaf_lines").alias("leaf_pos", "line"))
-    is_hive = F.col("line").startswith(c.HIVE_RELATION)
-    identifier = F.when(is_hive, F.regexp_extract("line", r"((?:`[^`]+`\.?)+)", 1)).otherwise(
-        F.regexp_extract("line", r"^Relation ([^\[]+)\[", 1)
-    )
-    leaves = leaves.withColumn("identifier", identifier)
-    inputs = leaves.select(
-        "write_id",
-        "leaf_pos",
-        F.when(is_hive, c.HIVE_RELATION).otherwise(LOGICAL_RELATION).alias("relation_class"),
-        _identifier_part(F.col("identifier"), 2).alias("in_db"),
-        _identifier_part(F.col("identifier"), 1).alias("in_table"),
-    )
-    data = F.when(is_hive, F.regexp_extract("line", r"Data Cols: \[([^\]]*)\]", 1)).otherwise(
-        F.regexp_extract("line", r"^Relation [^\[]+\[(.*)\] ", 1)
-    )
-    partition = F.regexp_extract("line", r"Partition Cols: \[([^\]]*)\]", 1)
-    both = F.concat(_printed_columns(data, False), _printed_columns(partition, True))
-    columns = leaves.select("write_id", "leaf_pos", F.inline(both))
-
-    printed = F.regexp_extract("query_line", r"^Project \[(.*)\]$", 1)
-    projected = found.filter(F.col("query_line").startswith("Project ["))
-    entries = projected.select("write_id", F.posexplode(_entries(printed)).alias("out_pos", "entry"))
-    alias = r"(?s)^(.*) AS (.+?)#(\d+)L?$"
-    is_alias = F.col("entry").rlike(alias)
-    bare = r"(?s)^(.+)#(\d+)L?$"
-
-    def part(alias_group: int, bare_group: int) -> Column:
-        return F.when(is_alias, F.regexp_extract("entry", alias, alias_group)).otherwise(
-            F.regexp_extract("entry", bare, bare_group)
-        )
-
-    projections = entries.select(
-        "write_id",
-        "out_pos",
-        part(2, 1).alias("out_name"),
-        part(3, 2).cast("bigint").alias("expr_id"),
-        is_alias.cast("int").alias("n_children"),
-        F.when(is_alias, F.regexp_extract("entry", alias, 1)).alias("expr_text"),
-        "entry",
-    )
-    inside = F.when(F.col("n_children") > 0, F.col("expr_text")).otherwise(F.col("entry"))
-    ids = F.regexp_extract_all(inside, F.lit(r"#(\d+)"), F.lit(1))
-    projection_leaves = projections.select(
-        "write_id", "out_pos", F.posexplode(ids).alias("leaf_ord", "leaf_expr_id")
-    ).select(
-        "write_id",
-        "out_pos",
-        "leaf_ord",
-        F.lit("AttributeReference").alias("leaf_class"),
-        F.col("leaf_expr_id").cast("bigint").alias("leaf_expr_id"),
-    )
-    return Capture(writes, inputs, columns, projections.drop("entry"), projection_leaves)

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from spoor import constants as c
+from spoor.operators.column_lineage import column_edges
 from spoor.operators.entities import hook_notifications
 from spoor.plans.harvest import Harvest, harvest, messages_of
 from spoor.sinks.publish import Sink, publish
 from spoor.sources.capture import unnest
 
-RESULTS = ("table_edges", "table_lineage", "column_lineage", "column_edges", "rejected")
+RESULTS = ("table_edges", "table_lineage", "column_lineage", "rejected")
 
 BatchSink = Callable[[Harvest, int], None]
 
@@ -40,8 +41,11 @@ def lineage_tables(path: str) -> BatchSink:
 
     def write(result: Harvest, batch_id: int) -> None:
         for name in RESULTS:
-            table: DataFrame = getattr(result, name)
-            table.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+            stored(getattr(result, name), f"{path}/{name}", batch_id)
+        # Edges come from the columns just written, not from deriving them again.
+        spark = result.column_lineage.sparkSession
+        columns = spark.read.parquet(f"{path}/column_lineage/batch={batch_id}")
+        stored(column_edges(columns), f"{path}/column_edges", batch_id)
 
     return write
 
@@ -55,16 +59,18 @@ def lineage_messages(
     properties: dict | None = None,
     dead_letters: Sink | None = None,
     max_bytes: int = c.MAX_MESSAGE_BYTES,
+    **retry,
 ) -> BatchSink:
     """A sink that publishes every write's bundle, keyed by its output table.
 
     Message ids are those of the writes, so readers can drop what a replay sends again.
+    ``retry`` is passed on to ``publish``.
     """
 
     def send(result: Harvest, batch_id: int) -> None:
         asked = hook_notifications(result.bundles, user)
         sent = messages_of(asked, run_id, source_ip, user, created_ms, max_bytes)
-        publish(sent, sink, properties, dead_letters)
+        publish(sent, sink, properties, dead_letters, **retry)
 
     return send
 

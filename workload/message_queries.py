@@ -7,7 +7,8 @@ from spoor.functions import text, versions
 from spoor.operators import column_lineage as cols
 from spoor.operators import entities, messages, table_lineage, writes
 from spoor.plans.harvest import harvest, messages_of
-from spoor.sinks.publish import dead_letter, outbox
+from spoor.session import shared_folder
+from spoor.sinks.publish import dead_letter, file_sink, outbox, publish
 from workload import fixtures as fx
 
 QUERIES = {}
@@ -346,14 +347,13 @@ def clean_lists(spark, sf):
 # --- outbox ---------------------------------------------------------------------------
 
 
-def _received(sent):
-    """Outbox rows as their reader sees them: ``key, topic, msg_json``, all put together."""
-    parts = messages.read_parts(sent)
+def _received(spark, sent):
+    """Published messages as a reader of the outbox sees them, put together again."""
+    folder = shared_folder(spark)
+    publish(sent, file_sink(folder))
+    parts = messages.read_parts(spark.read.parquet(folder))
     whole = parts.filter("msg_id IS NULL").select("key", "topic", F.col("value").alias("msg_json"))
-    keys = parts.filter("msg_id IS NOT NULL").groupBy("msg_id").agg(
-        F.max("key").alias("key"), F.max("topic").alias("topic")
-    )
-    split = messages.reassemble(parts).join(keys, "msg_id").select("key", "topic", "msg_json")
+    split = messages.reassemble(parts, ["key", "topic"]).drop("msg_id")
     return whole.unionByName(split)
 
 
@@ -362,8 +362,8 @@ SELECT msg_key AS key, 'ATLAS_HOOK' AS topic, payload AS message, '1700000000000
 FROM fx_payload""")
 def outbox_messages(spark, sf):
     asked = _payloads(spark, sf, "message")
-    sent = outbox(messages_of(asked, RUN_ID, "10.0.0.1", "spark", 1700000000000, MAX_BYTES))
-    return _received(sent).select(
+    sent = messages_of(asked, RUN_ID, "10.0.0.1", "spark", 1700000000000, MAX_BYTES)
+    return _received(spark, sent).select(
         "key",
         "topic",
         F.get_json_object("msg_json", "$.message").alias("message"),
@@ -380,9 +380,9 @@ def published_lineage(spark, sf):
     # From capture to outbox and back; the limit makes many messages compressed or split.
     bundles = harvest(fx.capture(spark, sf)).bundles
     asked = entities.hook_notifications(bundles, "spark")
-    sent = outbox(messages_of(asked, RUN_ID, "10.0.0.1", "spark", 1700000000000, 2000))
+    sent = messages_of(asked, RUN_ID, "10.0.0.1", "spark", 1700000000000, 2000)
     listed = "$.message.entities.entities"
-    return _received(sent).select(
+    return _received(spark, sent).select(
         "key",
         "topic",
         F.get_json_object("msg_json", listed + "[0].attributes.qualifiedName").alias("first_name"),

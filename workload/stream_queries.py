@@ -7,7 +7,7 @@ from spoor.plans.harvest import harvest
 from spoor.session import shared_folder
 from spoor.sinks.publish import file_sink
 from spoor.sources import event_log
-from spoor.sources.capture import nest, read_capture, stream_capture, write_capture
+from spoor.sources.capture import nest, read_capture, stream_capture, unnest, write_capture
 from spoor.streaming import lineage, statements
 from workload import fixtures as fx
 from workload.lineage_queries import LINEAGE_SQL
@@ -201,5 +201,6 @@ def event_log_lineage(spark, sf):
     folder = f"{shared_folder(spark)}/app-20240101-0001"
     _log_lines(spark, sf).write.text(folder)
     log = event_log.scan_event_log(spark, folder)
-    found = harvest(event_log.capture_from_log(log), accepted=event_log.LOG_RELATIONS)
-    return _lineage(found.column_lineage)
+    event_log.records_from_log(log).write.parquet(f"{folder}-records")
+    capture = unnest(spark.read.parquet(f"{folder}-records"))
+    return _lineage(harvest(capture, accepted=event_log.LOG_RELATIONS).column_lineage)
