@@ -42,13 +42,19 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    # Start Python workers and load classes before the clock runs.
-    registry.QUERIES["reassembled_messages"](spark, sf_dir).limit(1).collect()
+
+    def run(name: str, folder: str) -> float:
+        began = time.perf_counter()
+        registry.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - began, 3)
+
+    # Load classes, compile plans and start Python workers before the clock runs.
+    small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    for name in names:
+        run(name, small if os.path.isdir(small) else sf_dir)
     seconds = {}
     for name in names:
-        began = time.perf_counter()
-        registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - began, 3)
+        seconds[name] = run(name, sf_dir)
         print(name, seconds[name], file=sys.stderr)
     writes = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     spark.stop()

@@ -41,6 +41,7 @@ QUERY_PLAN = "Not Supported"
 # Messages.
 NOTIFICATION_TYPE = "ENTITY_CREATE_V2"
 MESSAGE_VERSION = "1.0.0"
+MESSAGE_VERSION_PARTS = (1,)
 MAX_MESSAGE_BYTES = 1000 * 1000 - 512
 MAX_BYTES_PER_CHAR = 4
 GZIP = "GZIP"

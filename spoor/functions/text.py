@@ -24,7 +24,7 @@ def strip_expression_ids(text: Column) -> Column:
 
 def base64_text(data: Column) -> Column:
     """Base64 without the line breaks Spark puts in."""
-    return F.translate(F.base64(data), "\r\n", "")
+    return F.replace(F.base64(data), F.lit("\r\n"), F.lit(""))
 
 
 def utf16_length(text: Column) -> Column:
@@ -33,9 +33,11 @@ def utf16_length(text: Column) -> Column:
 
 
 def chunks(text: Column, size: int) -> Column:
-    """Cut single-byte text into consecutive pieces of at most ``size``."""
-    count = F.ceil(F.length(text) / F.lit(size)).cast("int")
+    """Cut single-byte text into consecutive pieces of at most ``size``; one at least."""
+    count = F.ceil(F.octet_length(text) / F.lit(size)).cast("int")
+    # Bytes are cut without counting characters from the start for every piece.
+    data = text.cast("binary")
     return F.transform(
         F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1),
-        lambda i: F.substring(text, i * size + 1, F.lit(size)),
+        lambda i: F.substring(data, i * size + 1, F.lit(size)).cast("string"),
     )

@@ -18,7 +18,7 @@ PART_SCHEMA = (
 def _version() -> Column:
     return F.struct(
         F.lit(c.MESSAGE_VERSION).alias("version"),
-        versions.version_parts(F.lit(c.MESSAGE_VERSION)).alias("versionParts"),
+        F.array(*map(F.lit, c.MESSAGE_VERSION_PARTS)).alias("versionParts"),
     )
 
 
@@ -111,7 +111,9 @@ def split_large(
         .withColumn("split_count", F.size("_bodies"))
     )
     others = [name for name in parts.columns if name != "_bodies"]
-    parts = parts.select(*others, F.posexplode("_bodies").alias("_index", "_body"))
+    # There is always a body. The outer form says so to Spark, which otherwise computes
+    # them all once more to filter out empty lists.
+    parts = parts.select(*others, F.posexplode_outer("_bodies").alias("_index", "_body"))
     index = F.when(F.col("_sent_whole"), F.lit(1)).otherwise(F.col("_index"))
     compression = F.when(F.col("_fits"), F.lit(c.NONE)).otherwise(kind)
     sent_id = F.when(~F.col("_fits"), F.col("msg_id"))

@@ -61,20 +61,24 @@ def writes(spark, sf_dir):
 
 
 def inputs(spark, sf_dir):
+    def lowest_is(name: str, value: str):
+        # ``min(name) = value`` over flags, so that rows are hashed instead of sorted.
+        return ~F.bool_or(F.col(name) < value) & F.bool_or(F.col(name) == value)
+
     return (
         table(spark, sf_dir, "lineitem")
         .filter("l_orderkey % 4 <> 0 OR l_linenumber = 1")
         .groupBy(F.col("l_orderkey").alias("write_id"), F.col("l_linenumber").alias("leaf_pos"))
         .agg(
-            F.min("l_returnflag").alias("flag"),
-            F.min("l_linestatus").alias("status"),
+            lowest_is("l_returnflag", "R").alias("is_logical"),
+            lowest_is("l_linestatus", "F").alias("no_db"),
             F.min("l_suppkey").alias("supplier"),
         )
         .selectExpr(
             "write_id",
             "leaf_pos",
-            "if(flag = 'R', 'LogicalRelation', 'HiveTableRelation') AS relation_class",
-            "if(status = 'F', NULL, 'Raw') AS in_db",
+            "if(is_logical, 'LogicalRelation', 'HiveTableRelation') AS relation_class",
+            "if(no_db, NULL, 'Raw') AS in_db",
             "concat('S_', supplier % 20) AS in_table",
         )
     )

@@ -265,7 +265,7 @@ def text_chunks(spark, sf):
         "msg_seq", text.base64_text(F.encode("msg_json", "UTF-8")).alias("encoded")
     )
     return encoded.select(
-        "msg_seq", F.posexplode(text.chunks(F.col("encoded"), 1000)).alias("piece", "body")
+        "msg_seq", F.posexplode_outer(text.chunks(F.col("encoded"), 1000)).alias("piece", "body")
     )
 
 
