@@ -146,7 +146,7 @@ def projected_columns(
             x["leaf_ord"].alias("leaf_ord"), _column_name(x["column"], ns).alias("name")
         ),
     )
-    accepted = F.array_sort(F.array_distinct(F.filter(named, lambda x: x["name"].isNotNull())))
+    accepted = F.sort_array(F.array_distinct(F.filter(named, lambda x: x["name"].isNotNull())))
     resolved = (
         joined.withColumn("direct", F.when(F.col("own").isNotNull(), direct))
         .withColumn("is_direct", F.col("direct").isNotNull())

@@ -171,7 +171,7 @@ def bundle_entities(pe: DataFrame, ce: DataFrame) -> DataFrame:
         .select(
             "write_id",
             "msg_key",
-            F.transform(F.array_sort("entries"), lambda entry: entry["entity"]).alias("entities"),
+            F.transform(F.sort_array("entries"), lambda entry: entry["entity"]).alias("entities"),
         )
     )
 
@@ -207,7 +207,7 @@ def bundle_columns(
         )
 
     process = F.array(_process_entity(processes))
-    ordered = F.transform(F.array_sort("columns"), column_entity)
+    ordered = F.transform(F.sort_array("columns"), column_entity)
     return processes.select(
         "write_id",
         F.col("output_table").alias("msg_key"),

@@ -176,7 +176,7 @@ def reassemble(parts: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """
     carry = carry or []
     complete = _gathered(parts, carry).filter(F.size("parts") == F.col("split_count"))
-    joined = F.array_join(F.transform(F.array_sort("parts"), lambda part: part["body"]), "")
+    joined = F.array_join(F.transform(F.sort_array("parts"), lambda part: part["body"]), "")
     data = complete.withColumn("_data", F.try_to_binary(joined, F.lit("base64")))
     zipped = F.col("compression") == c.GZIP
     data = data.withColumn("_plain", codec.gunzip_bytes(F.when(zipped, F.col("_data"))))

@@ -35,7 +35,7 @@ def relation_lists(i: DataFrame, accepted=ACCEPTED) -> DataFrame:
     return (
         input_relations(i, accepted)
         .groupBy("write_id")
-        .agg(F.array_sort(F.collect_set(leaf)).alias("leaves"))
+        .agg(F.sort_array(F.collect_set(leaf)).alias("leaves"))
     )
 
 
@@ -51,7 +51,7 @@ def named_writes(
         F.transform("leaves", lambda x: names.input_table_name(x["in_db"], x["in_table"], ns)),
     )
     # The position keeps the order of inputs that share a name.
-    by_name = F.array_sort(
+    by_name = F.sort_array(
         F.transform(
             "input_tables",
             lambda table, position: F.struct(

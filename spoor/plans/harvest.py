@@ -1,6 +1,7 @@
 """From capture tables to lineage, entities and messages."""
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 
@@ -13,18 +14,64 @@ from spoor.sources.capture import Capture
 
 @dataclass(frozen=True)
 class Harvest:
-    """What was derived from a set of writes.
+    """What can be derived from a set of writes; each table is planned when asked for."""
 
-    ``bundles`` has the entities of every write, process first.
-    """
+    capture: Capture
+    writes: DataFrame
+    inputs: DataFrame
+    ns: str
+    strip_ids: bool
+    accepted: tuple
 
-    table_edges: DataFrame
-    table_lineage: DataFrame
-    column_lineage: DataFrame
-    column_edges: DataFrame
-    rejected: DataFrame
-    unsupported: DataFrame
-    bundles: DataFrame
+    def _columns_of(self, derive, *given: DataFrame) -> DataFrame:
+        tables = self.capture
+        return derive(
+            *given,
+            tables.relation_columns,
+            tables.projections,
+            tables.projection_leaves,
+            self.ns,
+            self.strip_ids,
+            self.accepted,
+        )
+
+    @cached_property
+    def table_edges(self) -> DataFrame:
+        return table_lineage.table_edges(self.writes, self.inputs, self.ns, self.accepted)
+
+    @cached_property
+    def named(self) -> DataFrame:
+        """Writes with their names and inputs."""
+        return table_lineage.named_writes(self.writes, self.inputs, self.ns, self.accepted)
+
+    @cached_property
+    def table_lineage(self) -> DataFrame:
+        return table_lineage.process_records(self.named, self.ns)
+
+    @cached_property
+    def column_lineage(self) -> DataFrame:
+        return self._columns_of(columns.column_lineage, self.writes, self.inputs)
+
+    @cached_property
+    def column_edges(self) -> DataFrame:
+        return columns.column_edges(self.column_lineage)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        """Writes without inputs."""
+        return table_lineage.rejected_writes(self.writes, self.inputs, self.accepted)
+
+    @cached_property
+    def unsupported(self) -> DataFrame:
+        """Successful writes of other command classes."""
+        return writes.unsupported_writes(writes.successful(self.capture.writes))
+
+    @cached_property
+    def bundles(self) -> DataFrame:
+        """The entities of every write, process first."""
+        bare = self.named.select("write_id", "query_root", "leaves")
+        found = self._columns_of(columns.lineage_columns, bare)
+        return entities.bundle_columns(self.named, found, self.ns)
 
 
 def harvest(
@@ -42,21 +89,7 @@ def harvest(
     if normalize_case:
         ns = ns.lower()
         w, i = writes.lower_case_names(w, i)
-    rc, p, pl = capture.relation_columns, capture.projections, capture.projection_leaves
-    cl = columns.column_lineage(w, i, rc, p, pl, ns, strip_ids, accepted)
-    named = table_lineage.named_writes(w, i, ns, accepted)
-    bare = columns.lineage_columns(
-        named.select("write_id", "query_root", "leaves"), rc, p, pl, ns, strip_ids, accepted
-    )
-    return Harvest(
-        table_edges=table_lineage.table_edges(w, i, ns, accepted),
-        table_lineage=table_lineage.process_records(named, ns),
-        column_lineage=cl,
-        column_edges=columns.column_edges(cl),
-        rejected=table_lineage.rejected_writes(w, i, accepted),
-        unsupported=writes.unsupported_writes(writes.successful(capture.writes)),
-        bundles=entities.bundle_columns(named, bare, ns),
-    )
+    return Harvest(capture, w, i, ns, strip_ids, accepted)
 
 
 def messages_of(

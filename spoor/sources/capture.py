@@ -76,7 +76,7 @@ def nest(capture: Capture) -> DataFrame:
 
     def listed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
         rest = [col for col in df.columns if col not in keys]
-        rows = F.array_sort(F.collect_list(F.struct(*rest)))
+        rows = F.sort_array(F.collect_list(F.struct(*rest)))
         return df.groupBy(*keys).agg(rows.alias(name))
 
     at_leaf, at_entry = ["write_id", "leaf_pos"], ["write_id", "out_pos"]

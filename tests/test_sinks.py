@@ -1,8 +1,11 @@
 """Publishing: options, outbox, retry, dead letters."""
 
 import pytest
+from spoor import constants as c
 from spoor.sinks import publish as sinks
 
+PREFIX = c.KAFKA_OPTION_PREFIX
+
 
 @pytest.fixture(scope="module")
 def msgs(spark):
@@ -11,10 +14,10 @@ def msgs(spark):
 
 def test_kafka_options():
     given = {
-        "atlas.cluster.name": "prod",
-        "atlas.kafka.bootstrap.servers": "h:9092",
-        "atlas.kafka.key.serializer": "x",
-        "atlas.kafka.sasl.jaas.config": "j",
+        c.NAMESPACE_OPTION: "prod",
+        PREFIX + "bootstrap.servers": "h:9092",
+        PREFIX + "key.serializer": "x",
+        PREFIX + "sasl.jaas.config": "j",
         "other": "y",
     }
     options = sinks.kafka_options(given)
@@ -25,16 +28,16 @@ def test_kafka_options():
         "kafka.retries": "3",
         "kafka.retry.backoff.ms": "3000",
     }
-    assert sinks.kafka_options({"atlas.kafka.session.timeout.ms": "5"})[
+    assert sinks.kafka_options({PREFIX + "session.timeout.ms": "5"})[
         "kafka.session.timeout.ms"
     ] == "5"
     assert sinks.namespace(given) == "prod" and sinks.namespace({}) == "5k"
-    assert sinks.topic({}) == "ATLAS_HOOK"
-    assert sinks.topic({"atlas.hook.topic": "T2"}) == "T2"
+    assert sinks.topic({}) == c.DEFAULT_TOPIC
+    assert sinks.topic({c.TOPIC_OPTION: "T2"}) == "T2"
 
 
 def test_outbox(msgs):
-    rows = sinks.outbox(msgs, {"atlas.hook.topic": "T"}).collect()
+    rows = sinks.outbox(msgs, {c.TOPIC_OPTION: "T"}).collect()
     assert {tuple(r) for r in rows} == {("k", "v", "T"), (None, "w", "T")}
 
 
@@ -72,7 +75,7 @@ def test_giving_up_keeps_the_rows_and_does_not_raise(spark, msgs, tmp_path):
 
 def test_kafka_sink_without_connector_is_a_dead_letter(spark, msgs, tmp_path):
     path = str(tmp_path / "dead")
-    sink = sinks.kafka_sink({"atlas.kafka.bootstrap.servers": "localhost:1"})
+    sink = sinks.kafka_sink({PREFIX + "bootstrap.servers": "localhost:1"})
     if sinks.publish(msgs, sink, dead_letters=sinks.file_sink(path), attempts=1):
         pytest.skip("a Kafka connector and a broker are here")
     assert spark.read.parquet(path).count() == 2

@@ -99,92 +99,84 @@ def relations(spark, sf_dir):
     )
 
 
-def _rows(schema: dict, rows: list) -> F.Column:
-    """Repeat an input row once per given tuple of literals or expressions."""
-
-    def row(values):
-        return F.struct(
-            *[
-                (value if isinstance(value, F.Column) else F.lit(value)).cast(kind).alias(name)
-                for value, (name, kind) in zip(values, schema.items())
-            ]
+def _rows(schema: dict, rows: list[tuple]) -> str:
+    """SQL that repeats an input row once per given tuple of SQL values."""
+    structs = [
+        "named_struct("
+        + ", ".join(
+            f"'{name}', CAST({value} AS {kind})" for value, (name, kind) in zip(row, schema.items())
         )
-
-    return F.inline(F.array(*[row(values) for values in rows]))
+        + ")"
+        for row in rows
+    ]
+    return f"inline(array({', '.join(structs)}))"
+
+
+COLUMN_ROWS = _rows(
+    {"expr_id": "BIGINT", "col_name": "STRING", "is_partition": "BOOLEAN"},
+    [
+        ("leaf_pos * 10", "'Id'", "false"),
+        ("leaf_pos * 10 + 1", "'Amount'", "false"),
+        ("leaf_pos * 10 + 2", "'Name'", "false"),
+        ("leaf_pos * 10 + 3", "'dt'", "true"),
+    ],
+)
+ENTRY_ROWS = _rows(
+    {
+        "out_pos": "INT",
+        "out_name": "STRING",
+        "expr_id": "BIGINT",
+        "n_children": "INT",
+        "expr_text": "STRING",
+    },
+    [
+        (0, "'Id'", 10, 0, "NULL"),
+        (1, "'Renamed'", 1001, 1, "'Amount#11'"),
+        (2, "'Total'", 1002, 1, "'(Amount#11 + Amount#21)'"),
+        (3, "'label'", 1003, 1, "'upper(Name#12)'"),
+        (4, "'ghost'", 9999, 0, "NULL"),
+        (5, "'rnd'", 1005, 1, "'rand(7)'"),
+        (6, "'dt'", 13, 0, "NULL"),
+        (7, "'twice'", 1007, 1, "'(Amount#11 + Amount#11)'"),
+        (8, "'plus1'", 1008, 1, "'(Amount#11 + 1)'"),
+    ],
+)
+LEAF_ROWS = _rows(
+    {"out_pos": "INT", "leaf_ord": "INT", "leaf_class": "STRING", "leaf_expr_id": "BIGINT"},
+    [
+        (0, 0, "'AttributeReference'", 10),
+        (1, 0, "'AttributeReference'", 11),
+        (2, 0, "'AttributeReference'", 11),
+        (2, 1, "'AttributeReference'", 21),
+        (3, 0, "'AttributeReference'", 12),
+        (4, 0, "'AttributeReference'", 9999),
+        (5, 0, "'Literal'", "NULL"),
+        (6, 0, "'AttributeReference'", 13),
+        (7, 0, "'AttributeReference'", 11),
+        (7, 1, "'AttributeReference'", 11),
+        (8, 0, "'AttributeReference'", 11),
+        (8, 1, "'Literal'", "NULL"),
+    ],
+)
 
 
 def relation_columns(spark, sf_dir):
-    first = F.col("leaf_pos") * 10
-    columns = _rows(
-        {"expr_id": "bigint", "col_name": "string", "is_partition": "boolean"},
-        [
-            (first, "Id", False),
-            (first + 1, "Amount", False),
-            (first + 2, "Name", False),
-            (first + 3, "dt", True),
-        ],
-    )
-    return inputs(spark, sf_dir).select("write_id", "leaf_pos", columns)
-
-
-def _project_writes(spark, sf_dir):
-    return writes(spark, sf_dir).filter("query_root = 'Project'")
+    return inputs(spark, sf_dir).selectExpr("write_id", "leaf_pos", COLUMN_ROWS)
 
 
 def projections(spark, sf_dir):
-    schema = {
-        "out_pos": "int",
-        "out_name": "string",
-        "expr_id": "bigint",
-        "n_children": "int",
-        "expr_text": "string",
-    }
-    entries = [
-        (0, "Id", 10, 0, None),
-        (1, "Renamed", 1001, 1, "Amount#11"),
-        (2, "Total", 1002, 1, "(Amount#11 + Amount#21)"),
-        (3, "label", 1003, 1, "upper(Name#12)"),
-        (4, "ghost", 9999, 0, None),
-        (5, "rnd", 1005, 1, "rand(7)"),
-        (6, "dt", 13, 0, None),
-        (7, "twice", 1007, 1, "(Amount#11 + Amount#11)"),
-        (8, "plus1", 1008, 1, "(Amount#11 + 1)"),
-    ]
-    return _project_writes(spark, sf_dir).select("write_id", _rows(schema, entries))
-
-
-def projection_leaves(spark, sf_dir):
-    schema = {
-        "out_pos": "int",
-        "leaf_ord": "int",
-        "leaf_class": "string",
-        "leaf_expr_id": "bigint",
-    }
-    attribute = "AttributeReference"
-    leaves = [
-        (0, 0, attribute, 10),
-        (1, 0, attribute, 11),
-        (2, 0, attribute, 11),
-        (2, 1, attribute, 21),
-        (3, 0, attribute, 12),
-        (4, 0, attribute, 9999),
-        (5, 0, "Literal", None),
-        (6, 0, attribute, 13),
-        (7, 0, attribute, 11),
-        (7, 1, attribute, 11),
-        (8, 0, attribute, 11),
-        (8, 1, "Literal", None),
-    ]
-    return _project_writes(spark, sf_dir).select("write_id", _rows(schema, leaves))
+    return writes(spark, sf_dir).filter("query_root = 'Project'").selectExpr("write_id", ENTRY_ROWS)
 
 
 def capture(spark: SparkSession, sf_dir: str) -> Capture:
+    w, i = writes(spark, sf_dir), inputs(spark, sf_dir)
+    projects = w.filter("query_root = 'Project'")
     return Capture(
-        writes(spark, sf_dir),
-        inputs(spark, sf_dir),
-        relation_columns(spark, sf_dir),
-        projections(spark, sf_dir),
-        projection_leaves(spark, sf_dir),
+        w,
+        i,
+        i.selectExpr("write_id", "leaf_pos", COLUMN_ROWS),
+        projects.selectExpr("write_id", ENTRY_ROWS),
+        projects.selectExpr("write_id", LEAF_ROWS),
     )
 
 

@@ -357,8 +357,8 @@ def _received(spark, sent):
     return whole.unionByName(split)
 
 
-@query("""
-SELECT msg_key AS key, 'ATLAS_HOOK' AS topic, payload AS message, '1700000000000' AS created_ms
+@query(f"""
+SELECT msg_key AS key, '{c.DEFAULT_TOPIC}' AS topic, payload AS message, '1700000000000' AS created_ms
 FROM fx_payload""")
 def outbox_messages(spark, sf):
     asked = _payloads(spark, sf, "message")
@@ -371,8 +371,8 @@ def outbox_messages(spark, sf):
     )
 
 
-@query("""
-SELECT t.output_table AS key, 'ATLAS_HOOK' AS topic, t.qualified_name AS first_name,
+@query(f"""
+SELECT t.output_table AS key, '{c.DEFAULT_TOPIC}' AS topic, t.qualified_name AS first_name,
        1 + count(l.write_id) AS n_entities
 FROM lineage_table t LEFT JOIN lineage_column l ON t.write_id = l.write_id
 GROUP BY t.write_id, t.output_table, t.qualified_name""")
@@ -390,7 +390,7 @@ def published_lineage(spark, sf):
     )
 
 
-@query("""
-SELECT msg_key AS key, payload AS value, 'ATLAS_HOOK' AS topic, 'broker away' AS error FROM fx_payload""")
+@query(f"""
+SELECT msg_key AS key, payload AS value, '{c.DEFAULT_TOPIC}' AS topic, 'broker away' AS error FROM fx_payload""")
 def dead_letters(spark, sf):
     return dead_letter(outbox(_payloads(spark, sf, "value")), "broker away")

@@ -3,6 +3,7 @@ the test tables, written to the shared folder first."""
 
 from pyspark.sql import functions as F
 
+from spoor import constants as c
 from spoor.plans.harvest import harvest
 from spoor.session import shared_folder
 from spoor.sinks.publish import file_sink
@@ -69,7 +70,7 @@ def streamed_column_lineage(spark, sf):
     return _lineage(spark.read.parquet(f"{folder}/out/column_lineage"))
 
 
-@query("SELECT msg_key AS key, 'ATLAS_HOOK' AS topic, n_entities FROM (" + BUNDLE_SQL + ")")
+@query(f"SELECT msg_key AS key, '{c.DEFAULT_TOPIC}' AS topic, n_entities FROM (" + BUNDLE_SQL + ")")
 def streamed_messages(spark, sf):
     folder = shared_folder(spark)
     send = lineage.lineage_messages(
