@@ -5,17 +5,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _since_epoch(df: DataFrame, name: str, unit: str) -> Column:
-    # Without a zone the value is counted as it stands, whatever the session's zone.
-    start = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        return F.expr(f"timestampdiff({unit}, {start}, `{name}`)")
-    return F.unix_millis(name) if unit == "MILLISECOND" else F.unix_micros(name)
+def epoch_micros(df: DataFrame, name: str) -> Column:
+    """Microseconds since 1970; a time without zone is counted as it stands."""
+    if not isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return F.unix_micros(name)
+    # Field by field, since differences would be taken in the session's time zone.
+    day = F.unix_date(F.to_date(name)).cast("long")
+    minutes = (day * 24 + F.hour(name)) * 60 + F.minute(name)
+    seconds = F.extract(F.lit("SECOND"), F.col(name))
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("long")
 
 
 def epoch_millis(df: DataFrame, name: str) -> Column:
-    return _since_epoch(df, name, "MILLISECOND")
-
-
-def epoch_micros(df: DataFrame, name: str) -> Column:
-    return _since_epoch(df, name, "MICROSECOND")
+    if not isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return F.unix_millis(name)
+    return F.floor(epoch_micros(df, name) / F.lit(1000)).cast("long")
