@@ -20,6 +20,12 @@ from spoor.operators.table_lineage import named_writes, relation_lists
 
 # Order of an entry's own id, before all its leaves.
 OWN = -1
+# Select-list entries in one bundle; far more than tables have in practice.
+BUNDLE_COLUMNS = 10_000
+
+
+def bundle_part(position: Column) -> Column:
+    return F.floor(position / F.lit(BUNDLE_COLUMNS)).cast("long")
 
 
 def expression_text(p: DataFrame, strip_ids: bool = False) -> DataFrame:
@@ -235,10 +241,27 @@ def lineage_columns(
     strip_ids: bool = False,
     accepted=ACCEPTED,
 ) -> DataFrame:
-    """Projected and copied columns of ``named`` writes, whose other columns are kept."""
+    """Projected and copied columns of ``named`` writes, whose other columns are kept.
+
+    ``part`` is the bundle of the write a column goes to.
+    """
     projected = projected_columns(_with_root(named, c.PROJECT_ROOT), rc, p, pl, ns, strip_ids)
     copied = copied_columns(named, rc, ns, accepted)
-    return projected.drop("is_direct").unionByName(copied)
+    return (
+        projected.drop("is_direct")
+        .withColumn("part", bundle_part(F.col("out_pos")))
+        .unionByName(copied.withColumn("part", F.lit(0).cast("long")))
+    )
+
+
+def further_parts(p: DataFrame) -> DataFrame:
+    """The bundles after the first of writes with very long select lists."""
+    part = bundle_part(F.col("out_pos"))
+    return (
+        p.filter(F.col("out_pos") >= BUNDLE_COLUMNS)
+        .groupBy("write_id")
+        .agg(F.collect_set(part).alias("parts"))
+    )
 
 
 def column_lineage(

@@ -177,18 +177,29 @@ def bundle_entities(pe: DataFrame, ce: DataFrame) -> DataFrame:
 
 
 def bundle_columns(
-    named: DataFrame, columns: DataFrame, ns: str = c.DEFAULT_NAMESPACE
+    named: DataFrame,
+    columns: DataFrame,
+    further: DataFrame,
+    ns: str = c.DEFAULT_NAMESPACE,
 ) -> DataFrame:
     """The bundles of ``named_writes`` and their ``lineage_columns``.
 
     Only what differs between the columns of a write is shuffled; the long names, which
-    repeat the write's inputs, are built in the bundle itself.
+    repeat the write's inputs, are built in the bundle itself. Very long select lists
+    continue in the bundles ``further`` lists, each with the process again.
     """
     record = F.struct("out_pos", "out_name", "input_columns", "dependency_type", "expression")
-    listed = columns.groupBy("write_id").agg(F.collect_list(record).alias("columns"))
-    processes = process_records(
+    listed = columns.groupBy("write_id", "part").agg(F.collect_list(record).alias("columns"))
+    first = F.array(F.lit(0).cast("long"))
+    parts = F.concat(first, F.coalesce("parts", F.array().cast("array<bigint>")))
+    records = process_records(
         named, ns, "output_db", "out_table", "sorted_inputs", "write_mode"
-    ).join(listed, "write_id", "left")
+    ).join(further, "write_id", "left")
+    processes = (
+        records.withColumn("part", F.explode_outer(parts))
+        .drop("parts")
+        .join(listed, ["write_id", "part"], "left")
+    )
     millis = epoch_millis(processes, "start_time")
     database, table = F.col("output_db"), F.col("out_table")
 
@@ -210,6 +221,7 @@ def bundle_columns(
     ordered = F.transform(F.sort_array("columns"), column_entity)
     return processes.select(
         "write_id",
+        "part",
         F.col("output_table").alias("msg_key"),
         F.when(F.col("columns").isNull(), process)
         .otherwise(F.concat(process, ordered))
@@ -219,11 +231,15 @@ def bundle_columns(
 
 def hook_notifications(bundles: DataFrame, user: str) -> DataFrame:
     """The create request of every bundle."""
+    part = F.col("part") if "part" in bundles.columns else F.lit(0).cast("long")
     message = F.struct(
         F.lit(c.NOTIFICATION_TYPE).alias("type"),
         F.lit(user).alias("user"),
         F.struct("entities").alias("entities"),
     )
     return bundles.select(
-        F.col("write_id").alias("msg_seq"), "msg_key", message.alias("message")
+        F.col("write_id").alias("msg_seq"),
+        part.alias("msg_part"),
+        "msg_key",
+        message.alias("message"),
     )

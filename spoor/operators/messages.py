@@ -52,7 +52,11 @@ def with_size_class(msgs: DataFrame, max_bytes: int = c.MAX_MESSAGE_BYTES) -> Da
 
 def with_message_id(msgs: DataFrame, run_id: str) -> DataFrame:
     """Adds ``msg_id``, the same again when a task is retried or a batch replayed."""
-    return msgs.withColumn("msg_id", F.concat(F.lit(run_id + "_"), F.col("msg_seq")))
+    name = F.concat(F.lit(run_id + "_"), F.col("msg_seq"))
+    if "msg_part" in msgs.columns:
+        further = F.concat(name, F.lit("-"), F.col("msg_part"))
+        name = F.when(F.col("msg_part") > 0, further).otherwise(name)
+    return msgs.withColumn("msg_id", name)
 
 
 def encode_large(

@@ -68,10 +68,14 @@ class Harvest:
 
     @cached_property
     def bundles(self) -> DataFrame:
-        """The entities of every write, process first."""
+        """The entities of every write, process first.
+
+        One row per write, and one more for every further 10,000 columns.
+        """
         bare = self.named.select("write_id", "query_root", "leaves")
         found = self._columns_of(columns.lineage_columns, bare)
-        return entities.bundle_columns(self.named, found, self.ns)
+        further = columns.further_parts(self.capture.projections)
+        return entities.bundle_columns(self.named, found, further, self.ns)
 
 
 def harvest(
