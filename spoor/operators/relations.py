@@ -39,7 +39,9 @@ def relation_columns(relations: DataFrame) -> DataFrame:
         )
 
     both = F.concat(flagged("data_cols", False), flagged("partition_cols", True))
-    return relations.select("write_id", "leaf_pos", F.inline(both))
+    # The plain form would build the arrays once more, to filter out empty ones.
+    columns = relations.select("write_id", "leaf_pos", F.inline_outer(both))
+    return columns.filter(F.col("expr_id").isNotNull())
 
 
 def with_column_name(rc: DataFrame, i: DataFrame, ns: str = c.DEFAULT_NAMESPACE) -> DataFrame:

@@ -53,8 +53,9 @@ def harvestable(w: DataFrame, classes=SUPPORTED, dedupe: bool = True) -> DataFra
 
     ``dedupe=False`` is for capture tables whose ``write_id`` is known to be unique.
     """
-    w = successful(w)
-    return supported_writes(dedupe_commands(w) if dedupe else w, classes)
+    # All captures of a command are of one class, so others need not be shuffled.
+    w = successful(w).filter(F.col("command_class").isin(*classes))
+    return with_operation_type(dedupe_commands(w) if dedupe else w)
 
 
 def with_output_name(w: DataFrame, ns: str = c.DEFAULT_NAMESPACE) -> DataFrame:

@@ -51,11 +51,38 @@ def write_capture(capture: Capture, path: str, mode: str = "append") -> None:
         getattr(capture, name).write.mode(mode).parquet(f"{path}/{name}")
 
 
+def parse_records(received: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
+    """Nested write records from JSON in ``value``; see ``unparsed_records``."""
+    value = F.col("value").cast("string")
+    return (
+        received.select(F.from_json(value, schema).alias("record"))
+        .select("record.*")
+        .filter(F.col("write_id").isNotNull())
+    )
+
+
+def unparsed_records(received: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
+    """Rows of ``received`` that are not a write record."""
+    write_id = F.from_json(F.col("value").cast("string"), schema)["write_id"]
+    return received.filter(write_id.isNull())
+
+
 def stream_capture(
-    spark: SparkSession, path: str, schema: str = RECORD_SCHEMA, fmt: str = "parquet", **options
+    spark: SparkSession,
+    path: str | None = None,
+    schema: str = RECORD_SCHEMA,
+    fmt: str = "parquet",
+    **options,
 ) -> DataFrame:
-    """A stream of nested write records from a folder files are added to."""
-    return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
+    """A stream of nested write records.
+
+    Files added to the folder ``path``, or with ``fmt="kafka"`` JSON messages of the
+    topics named in ``options``.
+    """
+    stream = spark.readStream.format(fmt).options(**options)
+    if fmt == "kafka":
+        return parse_records(stream.load(), schema)
+    return stream.schema(schema).load(path)
 
 
 def unnest(records: DataFrame) -> Capture:

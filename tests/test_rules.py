@@ -8,7 +8,7 @@ from captures import AT, column, entry, leaf, records, write
 from pyspark.sql import functions as F
 from spoor.operators import entities, statements, writes
 from spoor.plans.harvest import harvest
-from spoor.sources.capture import nest, unnest
+from spoor.sources.capture import nest, parse_records, unnest, unparsed_records
 
 
 def derive(spark, *given, **options):
@@ -307,6 +307,15 @@ def test_nested_and_flat_forms_agree(spark):
     assert again.select(given.columns).first() == given.first()
 
 
+def test_records_as_json_messages(spark):
+    given = records(spark, write(1, projections=[entry(0, "Id", 1)]))
+    sent = given.select(F.to_json(F.struct("*")).cast("binary").alias("value"))
+    noise = spark.createDataFrame([(b"not json",), (b"{}",), (None,)], sent.schema)
+    received = sent.unionByName(noise)
+    assert parse_records(received).collect() == given.collect()
+    assert unparsed_records(received).count() == 3
+
+
 def test_acting_user(spark):
     rows = [(1, "run", "login"), (2, "", "login"), (3, None, ""), (4, None, None)]
     given = spark.createDataFrame(rows, "write_id int, run_user string, login_user string")

@@ -194,20 +194,26 @@ SELECT msg_seq, msg_key, '1.0.0' AS version, '[1]' AS version_parts, 'NONE' AS k
 FROM fx_payload""")
 def envelopes(spark, sf):
     wrapped = messages.envelope(_payloads(spark, sf, "message"), "10.0.0.1", "spark", 1700000000000)
+    schema = (
+        "version struct<version: string, versionParts: string>, msgCompressionKind string, "
+        "msgSplitIdx string, msgSplitCount string, msgSourceIP string, msgCreatedBy string, "
+        "msgCreationTime string, msgId string, message string"
+    )
     fields = {
-        "version": "$.version.version",
-        "version_parts": "$.version.versionParts",
-        "kind": "$.msgCompressionKind",
-        "split_idx": "$.msgSplitIdx",
-        "split_count": "$.msgSplitCount",
-        "source_ip": "$.msgSourceIP",
-        "created_by": "$.msgCreatedBy",
-        "created_ms": "$.msgCreationTime",
-        "msg_id": "$.msgId",
-        "message": "$.message",
+        "version": "version.version",
+        "version_parts": "version.versionParts",
+        "kind": "msgCompressionKind",
+        "split_idx": "msgSplitIdx",
+        "split_count": "msgSplitCount",
+        "source_ip": "msgSourceIP",
+        "created_by": "msgCreatedBy",
+        "created_ms": "msgCreationTime",
+        "msg_id": "msgId",
+        "message": "message",
     }
-    read = [F.get_json_object("msg_json", path).alias(name) for name, path in fields.items()]
-    return wrapped.select("msg_seq", "msg_key", *read)
+    back = wrapped.withColumn("back", F.from_json("msg_json", schema))
+    read = [F.col("back." + field).alias(name) for name, field in fields.items()]
+    return back.select("msg_seq", "msg_key", *read)
 
 
 @query(f"""
