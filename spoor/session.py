@@ -1,7 +1,5 @@
 """Session settings and the shared folder for intermediate tables."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,13 +21,9 @@ def builder(app_name: str = "spoor"):
 def shared_folder(spark: SparkSession) -> str:
     """A new folder on the storage all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may do
-    without; it gets a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; where that is unset, it lies in
+    the warehouse, which driver and executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="spoor-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     name = spark.sql("SELECT uuid()").first()[0]
     return f"{root.rstrip('/')}/spoor-{name}"
