@@ -68,14 +68,10 @@ class Harvest:
 
     @cached_property
     def bundles(self) -> DataFrame:
-        """The entities of every write, process first.
-
-        One row per write, and one more for every further 10,000 columns.
-        """
+        """The entities of every write, process first, in one row."""
         bare = self.named.select("write_id", "query_root", "leaves")
         found = self._columns_of(columns.lineage_columns, bare)
-        further = columns.further_parts(self.capture.projections)
-        return entities.bundle_columns(self.named, found, further, self.ns)
+        return entities.bundle_columns(self.named, found, self.ns)
 
 
 def harvest(

@@ -7,6 +7,7 @@ Results go to a folder per batch that a replay overwrites, so each batch counts
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spoor import constants as c
@@ -21,12 +22,34 @@ RESULTS = ("table_edges", "table_lineage", "column_lineage", "rejected")
 BatchSink = Callable[[Harvest, int], None]
 
 
-def dedupe_stream(records: DataFrame, delay: str) -> DataFrame:
-    """Each command once, as far as its captures are at most ``delay`` apart.
+def first_captures(batch: DataFrame, seen: str, batch_id: int, delay: str) -> DataFrame:
+    """The rows of a batch whose command no earlier batch had within ``delay``.
 
-    The state is bounded by ``delay``; records later than that are dropped.
+    Each batch leaves its ids in ``seen``, in order of the day of execution, and reads
+    those of the days that its own captures and the delay reach. Late captures stay if they are
+    the first; a replayed batch does not see its own ids. Repeats within the batch stay,
+    as harvesting drops them.
     """
-    return records.withWatermark("exec_ts", delay).dropDuplicatesWithinWatermark(["write_id"])
+    spark = batch.sparkSession
+    mine = batch.select("write_id", F.col("exec_ts").cast("timestamp").alias("at"))
+    reach = F.expr(f"INTERVAL {delay}")
+    first, last = mine.select(F.to_date(F.min("at") - reach), F.to_date(F.max("at") + reach)).first()
+    schema = f"write_id {mine.schema['write_id'].dataType.simpleString()}, at timestamp, day date, batch long"
+    own = mine.withColumn("day", F.to_date("at"))
+    # An empty table gives ``seen`` its folder before the first read.
+    own.limit(0).write.mode("overwrite").parquet(f"{seen}/batch=-1")
+    days = F.col("day").between(F.lit(first), F.lit(last))
+    earlier = (
+        spark.read.schema(schema).option("basePath", seen).parquet(seen)
+        .filter((F.col("batch") < batch_id) & (F.col("batch") >= 0) & (days | F.col("day").isNull()))
+        .select(F.col("write_id").alias("e_id"), F.col("at").alias("e_at"))
+    )
+    near = F.col("e_at").isNull() | F.col("exec_ts").isNull() | (
+        F.col("exec_ts").cast("timestamp").between(F.col("e_at") - reach, F.col("e_at") + reach)
+    )
+    fresh = batch.join(earlier, (F.col("write_id") == F.col("e_id")) & near, "left_anti")
+    own.sort("day").write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+    return fresh
 
 
 def stored(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
@@ -86,13 +109,15 @@ def harvest_stream(
 ) -> StreamingQuery:
     """Harvest each micro-batch and hand the result to every sink.
 
-    ``options`` go to ``harvest``; ``staging`` keeps the raw records of each batch.
+    ``options`` go to ``harvest``; ``staging`` keeps the raw records of each batch. With
+    ``dedupe_delay`` a command counts once as far as its captures are that close.
     """
-    if dedupe_delay is not None:
-        records = dedupe_stream(records, dedupe_delay)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        result = harvest(unnest(stored(batch, staging, batch_id)), **options)
+        kept = stored(batch, staging, batch_id)
+        if dedupe_delay is not None:
+            kept = first_captures(kept, f"{staging}-seen", batch_id, dedupe_delay)
+        result = harvest(unnest(kept), **options)
         for sink in sinks:
             sink(result, batch_id)
 

@@ -220,28 +220,14 @@ def test_writes_without_columns_still_have_a_bundle(derived):
     assert sizes == {1: 12, 2: 3, 3: 1}
 
 
-def test_long_select_lists_continue_in_further_bundles(spark, monkeypatch):
-    from spoor.operators import column_lineage, messages
-
-    monkeypatch.setattr(column_lineage, "BUNDLE_COLUMNS", 3)
-    long = write(1, projections=[entry(k, f"c{k:02}", 1) for k in range(8)])
-    copied = write(2, query_root="HiveTableRelation")
-    bundles = derive(spark, long, copied).bundles
-    rows = {(r.write_id, r.part): r.entities for r in bundles.collect()}
-    names = {
-        key: [e.attributes.name.split(":")[-1] for e in entities_[1:]]
-        for key, entities_ in rows.items()
-    }
-    assert names == {
-        (1, 0): ["c00", "c01", "c02"],
-        (1, 1): ["c03", "c04", "c05"],
-        (1, 2): ["c06", "c07"],
-        (2, 0): ["id", "amount"],
-    }
-    assert all(e[0].typeName == "hive_process" for e in rows.values())
-    asked = entities.hook_notifications(bundles, "me")
-    ids = {r.msg_id for r in messages.with_message_id(asked, "run").collect()}
-    assert ids == {"run_1", "run_1-1", "run_1-2", "run_2"}
+def test_a_long_select_list_is_one_bundle(spark):
+    long = write(1, projections=[entry(k, f"c{k:05}", 1) for k in range(1_200)])
+    found = derive(spark, long)
+    (one,) = found.bundles.collect()
+    pe = entities.process_entities(found.table_lineage)
+    (two,) = entities.bundle_entities(pe, entities.column_entities(found.column_lineage)).collect()
+    assert len(one.entities) == 1_201
+    assert [e.attributes.name for e in one.entities] == [e.attributes.name for e in two.entities]
 
 
 def test_relation_listed_twice_below_a_union(spark):

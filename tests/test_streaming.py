@@ -64,6 +64,22 @@ def test_stream_dedupe_across_batches(spark, tmp_path):
     assert spark.read.parquet(f"{folder}/out/table_lineage").count() == 1
 
 
+def test_a_late_first_capture_stays(spark, tmp_path):
+    folder = str(tmp_path)
+    days = {1: timedelta(0), 2: timedelta(days=2), 3: timedelta(days=-1)}
+    for write_id, later in days.items():
+        records(spark, write(write_id, exec_ts=AT + later)).write.mode("append").parquet(f"{folder}/in")
+        lineage.harvest_stream(
+            stream_capture(spark, f"{folder}/in"),
+            [lineage.lineage_tables(f"{folder}/out")],
+            f"{folder}/staging",
+            f"{folder}/checkpoint",
+            dedupe_delay="1 hour",
+        ).awaitTermination()
+    found = spark.read.parquet(f"{folder}/out/table_lineage").collect()
+    assert sorted(r.write_id for r in found) == [1, 2, 3]
+
+
 def test_stream_publishes_and_buries(spark, tmp_path):
     folder = str(tmp_path)
     records(spark, write(1)).write.parquet(f"{folder}/in")

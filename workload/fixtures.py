@@ -36,7 +36,10 @@ def executions(spark, sf_dir):
 
 
 def writes(spark, sf_dir):
-    return table(spark, sf_dir, "orders").selectExpr(
+    # A plan whose root is a relation has one leaf.
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    leaves = lines.agg((F.max("l_linenumber") == F.min("l_linenumber")).alias("one_leaf"))
+    return table(spark, sf_dir, "orders").join(leaves, "o_orderkey", "left").selectExpr(
         "o_orderkey AS write_id",
         "o_custkey % 16 AS thread_id",
         "o_orderdate AS exec_ts",
@@ -49,7 +52,7 @@ def writes(spark, sf_dir):
         "if(o_custkey % 3 = 0, NULL, 'Mart') AS out_db",
         "'work' AS current_db",
         "concat('T_', o_custkey % 200) AS out_table",
-        """CASE o_orderkey % 4 WHEN 0 THEN 'HiveTableRelation' WHEN 1 THEN 'Aggregate'
+        """CASE WHEN one_leaf THEN 'HiveTableRelation' WHEN o_orderkey % 4 = 1 THEN 'Aggregate'
              ELSE 'Project' END AS query_root""",
         """CASE o_orderkey % 5
              WHEN 0 THEN 'INSERT OVERWRITE TABLE x SELECT * FROM y'
@@ -67,7 +70,6 @@ def inputs(spark, sf_dir):
 
     return (
         table(spark, sf_dir, "lineitem")
-        .filter("l_orderkey % 4 <> 0 OR l_linenumber = 1")
         .groupBy(F.col("l_orderkey").alias("write_id"), F.col("l_linenumber").alias("leaf_pos"))
         .agg(
             lowest_is("l_returnflag", "R").alias("is_logical"),
@@ -233,7 +235,7 @@ def message_versions(spark, sf_dir):
 
 def separated_lists(spark, sf_dir):
     return table(spark, sf_dir, "conversations").selectExpr(
-        "conv_id", "turn", "concat(' ', role, ' ,, ', substr(text, 1, 5), ',  ') AS csv"
+        "conv_id", "turn", "concat(' ', role, ' ,, ', text, ',  ') AS csv"
     )
 
 
@@ -269,20 +271,21 @@ SELECT o_orderkey AS write_id,
        CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 'Mart' END AS out_db,
        'work' AS current_db,
        concat('T_', CAST(o_custkey % 200 AS STRING)) AS out_table,
-       CASE o_orderkey % 4 WHEN 0 THEN 'HiveTableRelation' WHEN 1 THEN 'Aggregate' ELSE 'Project' END AS query_root,
+       CASE WHEN one_leaf THEN 'HiveTableRelation' WHEN o_orderkey % 4 = 1 THEN 'Aggregate' ELSE 'Project' END AS query_root,
        CASE o_orderkey % 5
          WHEN 0 THEN 'INSERT OVERWRITE TABLE x SELECT * FROM y'
          WHEN 1 THEN 'CREATE TABLE Overwrite_log AS SELECT * FROM y'
          ELSE 'INSERT INTO x SELECT * FROM y' END AS sql_text,
        CASE o_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('u', CAST(o_custkey % 4 AS STRING)) END AS run_user
-FROM orders""",
+FROM orders LEFT JOIN (
+  SELECT l_orderkey, max(l_linenumber) = min(l_linenumber) AS one_leaf FROM lineitem GROUP BY l_orderkey
+) ON l_orderkey = o_orderkey""",
     "fx_input": """
 SELECT l_orderkey AS write_id, l_linenumber AS leaf_pos,
        CASE WHEN min(l_returnflag) = 'R' THEN 'LogicalRelation' ELSE 'HiveTableRelation' END AS relation_class,
        CASE WHEN min(l_linestatus) = 'F' THEN NULL ELSE 'Raw' END AS in_db,
        concat('S_', CAST(min(l_suppkey) % 20 AS STRING)) AS in_table
 FROM lineitem
-WHERE l_orderkey % 4 <> 0 OR l_linenumber = 1
 GROUP BY l_orderkey, l_linenumber""",
     "fx_relation_column": """
 SELECT i.write_id, i.leaf_pos, CAST(i.leaf_pos * 10 + c.col_pos AS BIGINT) AS expr_id, c.col_name, c.is_partition
@@ -323,7 +326,7 @@ SELECT doc_id AS msg_seq,
 FROM documents""",
     "fx_version": f"SELECT o_orderkey AS msg_seq, {VERSION_TEXT} AS version FROM orders",
     "fx_strings": """
-SELECT conv_id, turn, concat(' ', role, ' ,, ', substr(text, 1, 5), ',  ') AS csv FROM conversations""",
+SELECT conv_id, turn, concat(' ', role, ' ,, ', text, ',  ') AS csv FROM conversations""",
     "fx_nullable": """
 SELECT c_custkey, c_name, o_totalprice, o_orderkey, o_orderpriority
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 400000""",

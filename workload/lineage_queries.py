@@ -116,8 +116,8 @@ def query_routes(spark, sf):
 
 @query("""
 SELECT p.write_id, p.out_pos, p.out_name FROM fx_projection p
-WHERE p.n_children = 0
-  AND NOT EXISTS (SELECT 1 FROM direct_match d WHERE d.write_id = p.write_id AND d.out_pos = p.out_pos)""")
+LEFT JOIN direct_entry d ON d.write_id = p.write_id AND d.out_pos = p.out_pos
+WHERE p.n_children = 0 AND d.write_id IS NULL""")
 def unowned_entries(spark, sf):
     cap = fx.capture(spark, sf)
     skipped = cols.unowned_entries(cap.inputs, cap.relation_columns, cap.projections)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from spoor import constants as c
-from spoor.functions import text, versions
+from spoor.functions import codec, text, versions
 from spoor.operators import column_lineage as cols
 from spoor.operators import entities, messages, table_lineage, writes
 from spoor.plans.harvest import harvest, messages_of
@@ -103,7 +103,7 @@ SELECT write_id, out_pos AS pos, CAST(-(out_pos + 2) AS STRING) AS guid,
        'hive_column_lineage' AS type_name, qualified_name, name, dependency_type, expression,
        epoch_ms(exec_ts) AS start_time, input_columns AS inputs, output_column AS outputs,
        process_name AS query_name, 'hive_process_column_lineage' AS query_relationship,
-       'dataset_process_inputs' AS input_relationship
+       CASE WHEN input_columns = '' THEN NULL ELSE 'dataset_process_inputs' END AS input_relationship
 FROM lineage_column""")
 def column_entities(spark, sf):
     ce = entities.column_entities(harvest(fx.capture(spark, sf)).column_lineage)
@@ -124,7 +124,7 @@ def column_entities(spark, sf):
         _names(related + "outputs").alias("outputs"),
         F.col(related + "query.uniqueAttributes.qualifiedName").alias("query_name"),
         relationship.alias("query_relationship"),
-        F.lit(c.INPUTS_RELATIONSHIP).alias("input_relationship"),
+        F.get(F.col(related + "inputs.relationshipType"), F.lit(0)).alias("input_relationship"),
     )
 
 
@@ -233,10 +233,24 @@ def message_ids(spark, sf):
     return named.select("msg_seq", "msg_id")
 
 
-@query(None)
+@query(f"""
+SELECT doc_id AS msg_seq, concat('{RUN_ID}_', CAST(doc_id AS STRING)) AS msg_id, 'GZIP' AS kind,
+       repeat(concat('entry ', CAST(doc_id AS STRING), ' ', coalesce(source, ''), ';'), 600) AS text
+FROM documents""")
 def compressed_messages(spark, sf):
-    named = messages.with_message_id(_payloads(spark, sf), RUN_ID)
-    return messages.compress_large(named, MAX_BYTES).select("msg_seq", "msg_id", "value")
+    # Repeats of a short text: always oversize, and always small enough compressed.
+    entry = F.concat(F.lit("entry "), F.col("doc_id"), F.lit(" "), F.coalesce("source", F.lit("")), F.lit(";"))
+    docs = fx.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("msg_seq"), F.repeat(entry, 600).alias("msg_json")
+    )
+    sent = messages.compress_large(messages.with_message_id(docs, RUN_ID), MAX_BYTES)
+    body = F.unbase64(F.get_json_object("value", "$.message"))
+    return sent.select(
+        "msg_seq",
+        "msg_id",
+        F.get_json_object("value", "$.msgCompressionKind").alias("kind"),
+        F.decode(codec.gunzip_bytes(body), "UTF-8").alias("text"),
+    )
 
 
 SPLIT_SQL = f"""

@@ -50,8 +50,9 @@ SELECT p.write_id, CAST(p.out_pos AS BIGINT) AS out_pos, p.out_name,
             THEN NULL ELSE p.expr_text END AS expression
 FROM fx_projection p
 LEFT JOIN leaf_list l ON p.write_id = l.write_id AND p.out_pos = l.out_pos
-WHERE p.n_children > 0
-  AND NOT EXISTS (SELECT 1 FROM direct_match d WHERE d.write_id = p.write_id AND d.out_pos = p.out_pos)""",
+LEFT JOIN direct_entry d ON d.write_id = p.write_id AND d.out_pos = p.out_pos
+WHERE p.n_children > 0 AND d.write_id IS NULL""",
+    "direct_entry": "SELECT DISTINCT write_id, out_pos FROM direct_match",
     "copied_column": """
 SELECT m.write_id, min(m.expr_id) AS out_pos, m.col_name AS out_name, m.column_name AS input_columns,
        'SIMPLE' AS dependency_type, CAST(NULL AS STRING) AS expression
@@ -84,6 +85,10 @@ FROM fx_plan_node c JOIN fx_plan_node u
 }
 
 
+# Parts that many others read: worked out once.
+SHARED = {"fx_input", "column_map", "direct_match", "direct_entry", "leaf_list", "lineage_column"}
+
+
 def _needed(text: str, found: list) -> None:
     for name, part in PARTS.items():
         if name not in found and re.search(rf"\b{name}\b", text):
@@ -96,5 +101,7 @@ def statement(body: str) -> str:
     """``body`` with the parts it names, each before its first use."""
     found: list = []
     _needed(body, found)
-    parts = ",\n".join(f"{name} AS ({PARTS[name]})" for name in found)
+    parts = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name in SHARED else ''}({PARTS[name]})" for name in found
+    )
     return f"WITH {parts}\n{body}" if found else body

@@ -90,18 +90,26 @@ def streamed_messages(spark, sf):
 def streamed_dedupe(spark, sf):
     folder = shared_folder(spark)
     writes = fx.writes(spark, sf).select("write_id", F.col("exec_ts").cast("timestamp"))
-    writes.unionByName(writes).write.parquet(f"{folder}/captures")
-    captures = stream_capture(spark, f"{folder}/captures", "write_id bigint, exec_ts timestamp")
-    unique = lineage.dedupe_stream(captures, "1 day")
-    (
-        unique.select("write_id")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{folder}/unique")
-        .awaitTermination()
-    )
-    return spark.read.parquet(f"{folder}/unique")
+    turn = F.pmod("write_id", F.lit(3))
+
+    def keep(batch, batch_id):
+        fresh = lineage.first_captures(batch, f"{folder}/seen", batch_id, "1 day")
+        lineage.stored(fresh.select("write_id").distinct(), f"{folder}/unique", batch_id)
+
+    # Four arrivals, by turns and not by time: each has repeats of the one before, and
+    # first captures later than the delay.
+    for arrival in range(4):
+        part = writes.filter((turn == arrival) | (turn == arrival - 1))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/captures")
+        captures = stream_capture(spark, f"{folder}/captures", "write_id bigint, exec_ts timestamp")
+        (
+            captures.writeStream.foreachBatch(keep)
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    return spark.read.parquet(f"{folder}/unique").select("write_id")
 
 
 @query("""
