@@ -121,7 +121,8 @@ def licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFram
         raise ValueError(f"more than {MOST_TEMPLATE_WORDS} words of templates")
     if any(len(t.split()) < WORDS for t in templates.values()):
         raise ValueError(f"a template needs {WORDS} words")
-    rows = spark.createDataFrame(list(templates.items()), "license string, wording string")
+    pairs = [F.struct(F.lit(k).alias("license"), F.lit(v).alias("wording")) for k, v in templates.items()]
+    rows = spark.range(1).select(F.inline(F.array(*pairs)))
     known = (
         rows.withColumn("words", words(F.col("wording")))
         .withColumn("h", shingle_hashes("words"))
