@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁".encode()
-CACHE_UNITS = 800_000
+CACHE_UNITS = 300_000
 """Encodings a worker remembers between batches."""
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 """Bytes of distinct units sorted at a time; a longer unit is a batch of its own."""
 _UNKNOWN = -1
 _TABLE_BITS = 21
@@ -418,7 +418,7 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
     return source.mapInArrow(run, f"row {row}, ids array<int>, n_pieces long, round_trip boolean")
 
 
-def _parts(texts: list[bytes | None], most: int = 8 << 20) -> Iterator[tuple[int, list]]:
+def _parts(texts: list[bytes | None], most: int = 4 << 20) -> Iterator[tuple[int, list]]:
     begin, size = 0, 0
     for k, text in enumerate(texts):
         size += len(text or b"")
