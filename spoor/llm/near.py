@@ -244,15 +244,8 @@ def components(links: DataFrame) -> DataFrame:
         edges = after
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_shingles, component_id, kept) for each row of docs.
-
-    docs: doc_id, text, and any other columns, which are ignored. A null or empty text
-    and one without words has no shingles and is linked with nothing. Rows may repeat:
-    equal texts are linked, whatever their doc_id. component_id is null only where all
-    doc_id of a component are null; kept is true where doc_id equals it. An empty table
-    gives an empty one.
-    """
+def grouped(docs: DataFrame) -> DataFrame:
+    """near_duplicates() with the component's smallest node, null without words."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
     signed = written(
         source.mapInArrow(_sign, "doc_id long, text_key long, node binary, n_shingles long, keys array<long>")
@@ -293,7 +286,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(labels, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
         .join(lowest, "component", "left")
-        .select("node", F.coalesce("lowest", "own").alias("component_id"))
+        .select("node", "component", F.coalesce("lowest", "own").alias("component_id"))
     )
     return (
         signed.drop("keys")
@@ -301,23 +294,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
         .select(
             "doc_id", "text_key", "n_shingles", "component_id",
-            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "component",
         )
     )
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, kept) for each row of docs.
+
+    docs: doc_id, text, and any other columns, which are ignored. A null or empty text
+    and one without words has no shingles and is linked with nothing. Rows may repeat:
+    equal texts are linked, whatever their doc_id. component_id is null only where all
+    doc_id of a component are null; kept is true where doc_id equals it. An empty table
+    gives an empty one.
+    """
+    return grouped(docs).drop("component")
+
+
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: one of each component, and all rows without words.
 
     Where several rows have the component's doc_id, the one with the least text_key
     stays, and one only of equal rows. All columns of docs are kept as they are.
     """
-    found = near_duplicates(docs)
+    found = grouped(docs)
     lone = found.filter("n_shingles = 0").select("doc_id", "text_key").distinct()
     first = (
         found.filter("n_shingles > 0 AND kept")
-        .groupBy("doc_id")
-        .agg(F.min("text_key").alias("text_key"))
+        .groupBy("component")
+        .agg(F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"))
     )
     keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("k_id"), text_key().alias("k_text"))
 
