@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 LONG = 200
 """Characters beyond which a sentence is cut further."""
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 4 << 20
 MOST_RANGES = 20_000
 """Ranges of doc_id at most; they are streamed, so a range may be of any size."""
 _SENTENCE = re.compile(r"[^.!?]*[.!?]+\s*|[^.!?]+")
