@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
         ).withColumnRenamed("key", "p_key")
     )
     sample = written(
-        all_docs.join(picked, (F.col("doc_id") == F.col("p_id")) & (F.col("key") == F.col("p_key")))
+        all_docs.join(F.broadcast(picked), (F.col("doc_id") == F.col("p_id")) & (F.col("key") == F.col("p_key")))
         .dropDuplicates(["key"]).select(*_INPUT, "key", "mark")
     )
     names = []

@@ -106,14 +106,16 @@ def sample_of(docs: DataFrame, labels: DataFrame, categories: dict[str, str]) ->
     marks = labels.select(
         F.col("doc_id").alias("l_id"), *[F.expr(c).cast("double").alias(f"c_{k}") for k, c in enumerate(categories.values())]
     ).dropna()
-    joined = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("l_id"))
+    joined = docs.filter("text IS NOT NULL").select("doc_id", text_key().alias("key")).join(
+        marks, F.col("doc_id") == F.col("l_id")
+    )
     means = [F.round(F.avg(f"c_{k}")).alias(f"c_{k}") for k in range(len(categories))]
     order = F.xxhash64(F.lit(7), F.col("key"))
     picked = (
-        joined.filter("text IS NOT NULL").select(text_key().alias("key"), "doc_id", *[f"c_{k}" for k in range(len(categories))])
-        .groupBy("key").agg(F.min("doc_id").alias("doc_id"), *means).orderBy(order, "key").limit(SAMPLE)
+        joined.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *means).orderBy(order, "key").limit(SAMPLE)
     )
-    return picked.join(
+    # SAMPLE rows of a few numbers at most
+    return F.broadcast(picked).join(
         docs.select(F.col("doc_id").alias("t_id"), "text", text_key().alias("t_key")),
         (F.col("doc_id") == F.col("t_id")) & (F.col("key") == F.col("t_key")),
     ).dropDuplicates(["key"]).select("key", "text", *[f"c_{k}" for k in range(len(categories))])
