@@ -33,8 +33,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix with its ids."""
-    return pieces.encoded(docs).select("row.*", "ids", "n_pieces", "round_trip")
+    """The mix with its ids. Columns of docs with the names of the results make way."""
+    made = ("ids", "n_pieces", "round_trip")
+    return pieces.encoded(docs.drop(*made)).select("row.*", *made)
 
 
 STAGES = [

@@ -20,14 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁".encode()
-CACHE_UNITS = 300_000
+CACHE_UNITS = 150_000
 """Encodings a worker remembers between batches."""
-BATCH_BYTES = 1 << 19
+PART_BYTES = 1 << 20
+"""Bytes of texts cut into units at a time; a longer text is a part of its own."""
+BATCH_BYTES = 1 << 17
 """Bytes of distinct units sorted at a time; a longer unit is a batch of its own."""
 _UNKNOWN = -1
 _TABLE_BITS = 21
@@ -391,11 +393,15 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """
     content = model_bytes(docs.sparkSession, model)
 
+    names = docs.columns
+    at = names.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = _pieces(content)
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for a, part in _parts(texts):
+            whole = pa.StructArray.from_arrays(batch.columns, names)
+            for a, count in _parts(batch.column(at)):
+                part = batch.column(at).slice(a, count).cast(pa.binary()).to_pylist()
                 ids = made.encode(part)
                 offsets = np.cumsum([0] + [len(i) // 4 for i in ids])
                 flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
@@ -405,7 +411,7 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, len(part)),
+                        whole.slice(a, count),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
                         pa.array(np.diff(offsets), pa.int64()),
                         pa.array(back, pa.bool_()),
@@ -413,20 +419,20 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
                     ["row", "ids", "n_pieces", "round_trip"],
                 )
 
-    source = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["text"])
-    row = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {row}, ids array<int>, n_pieces long, round_trip boolean")
+    kinds = docs.schema.simpleString()
+    return docs.mapInArrow(run, f"row {kinds}, ids array<int>, n_pieces long, round_trip boolean")
 
 
-def _parts(texts: list[bytes | None], most: int = 4 << 20) -> Iterator[tuple[int, list]]:
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, count) of texts that hold PART_BYTES or are one text."""
     begin, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text or b"")
-        if size > most:
-            yield begin, texts[begin : k + 1]
-            begin, size = k + 1, 0
+    for k, more in enumerate(pc.binary_length(texts).to_pylist()):
+        if size and size + (more or 0) > PART_BYTES:
+            yield begin, k - begin
+            begin, size = k, 0
+        size += more or 0
     if begin < len(texts):
-        yield begin, texts[begin:]
+        yield begin, len(texts) - begin
 
 
 def decoded(rows: DataFrame, model: str = MODEL) -> DataFrame:
