@@ -34,6 +34,8 @@ MOST_COUNT = 3
 """A word counts so many times in one text at most."""
 FOLDS = 3
 THRESHOLD = 0.5
+SCORED_ROWS = 500
+"""Rows scored and handed on at a time."""
 STEMS = (4, 5, 6)
 """Lengths of the beginnings of longer words that count as words too."""
 _WORD = re.compile(r"\w+")
@@ -196,19 +198,27 @@ def scored(docs: DataFrame, chain: Chain, decision: str = "toxic") -> DataFrame:
     names = [f"p_{c}" for c in chain.categories]
     which = chain.categories.index(decision)
 
+    columns = docs.columns
+    at = columns.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = counted(batch.column(1).to_pylist(), chain.words)
-            found = chain.probabilities(rows)
-            words = np.diff(rows.first) > 0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c) for c in found.T), pa.array((found[:, which] > THRESHOLD) & words)],
-                ["row", *names, "rejected"],
-            )
-
-    source = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["text"])
-    row = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {row}, {', '.join(f'{n} double' for n in names)}, rejected boolean")
+            for k in range(0, len(batch), SCORED_ROWS):
+                part = batch.slice(k, SCORED_ROWS)
+                rows = counted(part.column(at).to_pylist(), chain.words)
+                found = chain.probabilities(rows)
+                words = np.diff(rows.first) > 0
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.StructArray.from_arrays(part.columns, columns),
+                        *(pa.array(c) for c in found.T),
+                        pa.array((found[:, which] > THRESHOLD) & words),
+                    ],
+                    ["row", *names, "rejected"],
+                )
+
+    kinds = ", ".join(f"{n} double" for n in names)
+    return docs.mapInArrow(run, f"row {docs.schema.simpleString()}, {kinds}, rejected boolean")
 
 
 def without_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
