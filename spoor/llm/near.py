@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spoor.llm.tables import text_key, written
-from spoor.llm.words import Words, mix, pieces_of, runs_hash
+from spoor.llm.words import Words, mix, pieces_of, portions, runs_hash
 
 WORDS = 5
 ROWS = 5
@@ -102,7 +102,7 @@ _SIGNED = pa.schema(
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches, 2):
         ids, keys = batch.column(0), batch.column(1)
         texts = (t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist())
         for first, piece in pieces_of(texts):
@@ -122,7 +122,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches, 0):
         texts = (t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist())
         for _, piece in pieces_of(texts):
             sets = [s for s in shingle_sets(piece) if len(s)]

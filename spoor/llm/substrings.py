@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spoor.llm.tables import text_key
-from spoor.llm.words import Words, mix, pieces_of, runs_hash
+from spoor.llm.words import Words, mix, pieces_of, portions, runs_hash
 
 WINDOW = 35
 RUN = 5
@@ -149,7 +149,7 @@ def _deal(buckets: Buckets):
                 [pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "blob"]
             )
 
-        for batch in batches:
+        for batch in portions(batches, 2):
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             texts = (_squeezed(t) for t in batch.column(2).cast(pa.binary()).to_pylist())
             for base, piece in pieces_of(texts):
@@ -182,7 +182,7 @@ def _measure(buckets: Buckets):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes: dict[int, int] = {}
-        for batch in batches:
+        for batch in portions(batches, 0):
             texts = (_squeezed(t) for t in batch.column(0).cast(pa.binary()).to_pylist())
             for _, piece in pieces_of(texts):
                 words = Words(piece)
@@ -266,7 +266,7 @@ def _count(group: pd.DataFrame) -> pd.DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rest, text, ranges) -> (rest, counts, kept)"""
-    for batch in batches:
+    for batch in portions(batches, 1):
         kept, total, removed = [], [], []
         for text, ranges in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
             words = (text or b"").split()

@@ -10,10 +10,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 """Bytes of text handled at a time; a longer text makes a piece of its own."""
 
+PORTION_BYTES = 2 << 20
+"""Bytes of text taken from a batch at a time."""
+
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 """Translation of A-Z to a-z; all other bytes stay."""
 
@@ -37,6 +42,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def portions(batches: Iterable[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, cut so that column ``at`` (text or bytes) has about
+    PORTION_BYTES in each; a longer text has one of its own. Nothing is copied."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        total = np.cumsum(size.astype(np.int64) + 64)
+        begin = 0
+        while begin < len(batch):
+            done = total[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(total, done + PORTION_BYTES, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def pieces_of(texts: Iterable[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     """(number of the first text, texts) of at most PIECE_BYTES or one text each."""
     held, size, first, k = [], 0, 0, -1
