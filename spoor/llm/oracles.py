@@ -1,3 +1,67 @@
-"""What DuckDB must return for the operators that SQL can express."""
+"""SQL for the operators' queries that DuckDB runs on the same tables."""
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+_SUBSTRINGS = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row_no, doc_id, {_WORDS.format(text="coalesce(text, '')")} AS words
+  FROM documents
+), word AS (
+  SELECT row_no, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM doc
+), passage AS (
+  SELECT row_no, place, array_to_string(words[place:place + 34], ' ') AS seq
+  FROM (SELECT row_no, words, unnest(range(1, len(words) - 33)) AS place FROM doc WHERE len(words) >= 35)
+), hit AS (
+  SELECT row_no, place, TRUE AS is_hit
+  FROM (SELECT row_no, place, count(*) OVER (PARTITION BY seq) AS n FROM passage) WHERE n > 1
+), marked AS (
+  SELECT w.row_no, w.place, w.word, coalesce(bool_or(h.is_hit) OVER (
+    PARTITION BY w.row_no ORDER BY w.place ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), FALSE) AS gone
+  FROM word w LEFT JOIN hit h ON h.row_no = w.row_no AND h.place = w.place
+), cut AS (
+  SELECT row_no, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY place) FILTER (WHERE NOT gone) AS kept
+  FROM marked GROUP BY row_no
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words,
+  CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(c.kept, '')) AS kept_sha256
+FROM doc d LEFT JOIN cut c ON c.row_no = d.row_no
+"""
+
+_NEAR = f"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS row_no, doc_id, {_WORDS.format(
+    text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT row_no, array_to_string(words[place:place + 4], ' ') AS shingle
+  FROM (SELECT row_no, words, unnest(range(1, greatest(len(words) - 3, 2))) AS place FROM doc WHERE len(words) > 0)
+), own AS MATERIALIZED (
+  SELECT row_no, count(*) AS n, string_agg(shingle, chr(10) ORDER BY shingle) AS whole FROM shingle GROUP BY row_no
+), class AS MATERIALIZED (
+  SELECT o.whole, o.n, min(o.row_no) AS node, min(d.doc_id) AS least
+  FROM own o JOIN doc d ON d.row_no = o.row_no GROUP BY o.whole, o.n
+), part AS MATERIALIZED (
+  SELECT c.node, c.n, s.shingle FROM class c JOIN shingle s ON s.row_no = c.node
+), link AS MATERIALIZED (
+  SELECT a.node AS a, b.node AS b
+  FROM part a JOIN part b ON a.shingle = b.shingle AND a.node <> b.node
+  WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT node, node AS seen FROM class
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN link l ON l.a = r.seen
+), component AS (
+  SELECT r.node, min(c.least) AS component_id FROM reach r JOIN class c ON c.node = r.seen GROUP BY r.node
+)
+SELECT d.doc_id, CAST(coalesce(o.n, 0) AS BIGINT) AS n_shingles,
+  coalesce(k.component_id, d.doc_id) AS component_id, d.doc_id = coalesce(k.component_id, d.doc_id) AS kept
+FROM doc d
+LEFT JOIN own o ON o.row_no = d.row_no
+LEFT JOIN class c ON c.whole = o.whole
+LEFT JOIN component k ON k.node = c.node
+"""
+
+ORACLE: dict[str, str] = {"op4_substrings": _SUBSTRINGS, "op10_near_duplicates": _NEAR}
