@@ -1,7 +1,16 @@
 """SQL for the operators' queries that DuckDB runs on the same tables."""
 
+from spoor.llm import rules
+
 _WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+_SPACE = r"[\x20\x09-\x0D]"
+
+
+def _texts(texts) -> str:
+    return "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in texts) + "]"
+
+
 _SUBSTRINGS = f"""
 WITH doc AS (
   SELECT row_number() OVER () AS row_no, doc_id, {_WORDS.format(text="coalesce(text, '')")} AS words
@@ -64,4 +73,49 @@ LEFT JOIN class c ON c.whole = o.whole
 LEFT JOIN component k ON k.node = c.node
 """
 
-ORACLE: dict[str, str] = {"op4_substrings": _SUBSTRINGS, "op10_near_duplicates": _NEAR}
+_RULES = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text,
+    {_WORDS.format(text="coalesce(text, '')")} AS words
+  FROM documents
+), line AS (
+  SELECT row_no, line, {_WORDS.format(text="line")} AS words, regexp_replace(line, '{_SPACE}', '', 'g') AS seen
+  FROM (SELECT row_no, unnest(string_split(text, chr(10))) AS line FROM doc)
+), lone AS (
+  SELECT *, len(list_filter(words, lambda w: list_contains({_texts(sorted(s.decode() for s in rules.SEPARATORS))}, w))) AS lone,
+    len(list_filter({_texts(c.decode() for c in rules.CLOSING)}, lambda c: ends_with(words[-1], c))) > 0 AS closed
+  FROM line WHERE len(words) > 0
+), failing AS (
+  SELECT row_no, line, len(words) AS n,
+    (lone >= 2 AND 3 * lone >= len(words))
+    OR 10 * (strlen(seen) - strlen(regexp_replace(seen, '[#*$%&|<>]', '', 'g'))) > strlen(seen)
+    OR 2 * (strlen(line) - strlen(replace(line, '!', ''))) >= len(words)
+    OR (len(words) < 10 AND NOT closed)
+    OR regexp_matches(line, '{"|".join(rules.BOILERPLATE)}', 'i') AS fails
+  FROM lone
+), lines AS (
+  SELECT row_no, count(*) - count(DISTINCT line) AS n_dup_lines, coalesce(sum(n) FILTER (WHERE fails), 0) AS lost
+  FROM failing GROUP BY row_no
+), passage AS (
+  SELECT row_no, place, array_to_string(words[place:place + 2], ' ') AS seq
+  FROM (SELECT row_no, words, unnest(range(1, len(words) - 1)) AS place FROM doc WHERE len(words) >= 3)
+), hit AS (
+  SELECT row_no, place FROM (SELECT row_no, place, count(*) OVER (PARTITION BY row_no, seq) AS n FROM passage) WHERE n > 1
+), repeated AS (
+  SELECT row_no, count(DISTINCT place + step) AS n FROM hit, (VALUES (0), (1), (2)) AS s(step) GROUP BY row_no
+), counted AS (
+  SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(d.text, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(l.n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, coalesce(l.lost, 0) AS lost
+  FROM doc d LEFT JOIN lines l ON l.row_no = d.row_no LEFT JOIN repeated r ON r.row_no = d.row_no
+), base AS (
+  SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MOST_REPEATED} * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND lost <= {rules.MOST_LOST} * n_words AS kept
+FROM base
+"""
+
+ORACLE: dict[str, str] = {"op4_substrings": _SUBSTRINGS, "op8_rules": _RULES, "op10_near_duplicates": _NEAR}
