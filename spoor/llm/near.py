@@ -253,7 +253,13 @@ def grouped(docs: DataFrame) -> DataFrame:
     classes = written(
         signed.filter("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"), F.first("keys").alias("keys"))
+        # One real row, of the least doc_id: texts that differ in case or white space
+        # share a node, and their least doc_id and text_key may be of different rows.
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("least"),
+            F.first("keys").alias("keys"),
+        )
+        .select("node", "least.doc_id", "least.text_key", "keys")
     )
     members = classes.select("node", F.explode("keys").alias("key"))
     met = written(members.join(members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"))

@@ -326,6 +326,25 @@ def test_near_duplicates_equal_all_pairs(documents, odd, none, monkeypatch, bloc
         assert near.near_duplicates(none).count() == 0
 
 
+def test_case_and_space_variants_link_their_near_duplicates(spark):
+    rows = []
+    for g in range(12):
+        plain = [f"g{g}w{k}" for k in range(80)]
+        variants = [" ".join(plain), "\n".join(plain), " ".join(plain).upper(), "  ".join(plain).title()]
+        close = [" ".join([*plain, f"tail{t}"]) for t in range(2)]
+        # in turn: the least doc_id is that of each variant, of a close text, or null
+        texts = (variants + close)[g % 6 :] + (variants + close)[: g % 6]
+        rows += [(None if g > 9 and k < 3 else 10 * g + k, text) for k, text in enumerate(texts)]
+    rows += [(None, "\t".join(f"n{k}" for k in range(30))), (None, " ".join(f"N{k}" for k in range(30)))]
+    rows += [(None, " ".join(f"n{k}" for k in range(31)))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near.near_duplicates(table).collect()
+    assert sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in found))) == sorted(
+        map(str, plain_components(rows))
+    )
+    assert near.without_near_duplicates(table).count() == 13
+
+
 def test_one_of_each_group_stays(odd):
     kept = near.without_near_duplicates(odd)
     assert kept.columns == odd.columns
