@@ -10,6 +10,9 @@ from spoor.llm.tables import written
 ORACLE_SQL = None
 """SQL has neither the classifier nor the merges; tests compare with plain loops."""
 
+NEAR_PERCENT = 85
+"""The stage links at the similarity of op10_near_duplicates; the test of the stages asks for that."""
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
@@ -18,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return near.without_near_duplicates(docs)
+    """One document of each group of near duplicates, at a similarity of 0.85 or more."""
+    return near.without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@
 Shingles are five consecutive words, lower-cased in A-Z. One permutation of the
 numbers below 2^32 renumbers them, a second one, shifted circularly by k, gives
 coordinate k of a signature: ``min(second(first(x) - k))`` over the set. Bands of five
-coordinates meet documents; a pair at similarity 0.85 shares no band with probability
-``(1 - 0.85^5)^24 < 1e-6``. Every candidate is confirmed on the full sets.
+coordinates meet documents; there are as many as it takes that a pair at the wanted
+similarity s shares none with probability ``(1 - s^5)^bands < 1e-6`` (24 at 0.85, 35 at
+0.80). Every candidate is confirmed on the full sets.
 
 Documents with equal sets are one class from the start, so copies cost one row each.
 The members of all buckets that have the same busiest member (their hub) are compared
@@ -15,6 +16,8 @@ GROUP_BYTES are cut in blocks, and every two blocks make a task.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +31,34 @@ from spoor.llm.words import Words, mix, pieces_of, portions, runs_hash
 
 WORDS = 5
 ROWS = 5
-BANDS = 24
-SURE = 0.65
-"""Pairs whose signatures agree in a smaller share are not compared: at similarity 0.85
-that happens with probability below 1e-8."""
+PERCENT = 85
+"""The least similarity of near duplicates, unless a caller asks for another."""
 GROUP_BYTES = 16 << 20
 
 
+@functools.cache
+def bands_for(percent: int) -> int:
+    """The fewest bands that pairs at this similarity miss with probability below 1e-6."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"no similarity in percent: {percent}")
+    missed = 1 - (percent / 100) ** ROWS
+    return math.ceil(math.log(1e-6) / math.log(missed)) if missed else 1
+
+
+@functools.cache
+def sure_for(percent: int) -> int:
+    """Pairs whose signatures agree in fewer coordinates are not compared: at this
+    similarity that happens with probability below 1e-8."""
+    n, share = bands_for(percent) * ROWS, percent / 100
+    total, least = 0.0, 0
+    while least < n:
+        total += math.comb(n, least) * share**least * (1 - share) ** (n - least)
+        if total >= 1e-8:
+            break
+        least += 1
+    return least
+
+
 def _spread(x: np.ndarray) -> np.ndarray:
     """A permutation of the numbers below 2^32; changes ``x``."""
     x ^= x >> np.uint32(16)
@@ -62,9 +86,9 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return sets
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """Circulant signatures, one row of BANDS * ROWS numbers for each set (not empty)."""
-    result = np.empty((len(sets), BANDS * ROWS), np.uint32)
+def signatures(sets: list[np.ndarray], bands: int) -> np.ndarray:
+    """Circulant signatures, one row of bands * ROWS numbers for each set (not empty)."""
+    result = np.empty((len(sets), bands * ROWS), np.uint32)
     first = 0
     while first < len(sets):
         last, total = first, 0
@@ -73,7 +97,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
             last += 1
         start = np.cumsum([0] + [len(s) for s in sets[first : last - 1]])
         renumbered = _spread((np.concatenate(sets[first:last]) >> np.uint64(32)).astype(np.uint32))
-        for k in range(BANDS * ROWS):
+        for k in range(bands * ROWS):
             result[first:last, k] = np.minimum.reduceat(_spread(renumbered - np.uint32(k)), start)
         first = last
     return result
@@ -88,8 +112,9 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 def _bands(signature: np.ndarray) -> np.ndarray:
     """One 64-bit key for each band, different between bands."""
-    parts = signature.reshape(len(signature), BANDS, ROWS).astype(np.uint64)
-    total = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2])
+    bands = signature.shape[1] // ROWS
+    parts = signature.reshape(len(signature), bands, ROWS).astype(np.uint64)
+    total = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), parts.shape[:2])
     for j in range(ROWS):
         total = mix(total * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
     return total.view(np.int64)
@@ -101,24 +126,29 @@ _SIGNED = pa.schema(
 )
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in portions(batches, 2):
-        ids, keys = batch.column(0), batch.column(1)
-        texts = (t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist())
-        for first, piece in pieces_of(texts):
-            sets = shingle_sets(piece)
-            full = [k for k, s in enumerate(sets) if len(s)]
-            bands = dict(zip(full, _bands(signatures([sets[k] for k in full])).tolist())) if full else {}
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.slice(first, len(piece)),
-                    keys.slice(first, len(piece)),
-                    pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([bands.get(k) for k in range(len(sets))], pa.list_(pa.int64())),
-                ],
-                schema=_SIGNED,
-            )
+def _sign(n_bands: int):
+    """(doc_id, text_key, text) -> _SIGNED"""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches, 2):
+            ids, keys = batch.column(0), batch.column(1)
+            texts = (t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist())
+            for first, piece in pieces_of(texts):
+                sets = shingle_sets(piece)
+                full = [k for k, s in enumerate(sets) if len(s)]
+                bands = dict(zip(full, _bands(signatures([sets[k] for k in full], n_bands)).tolist())) if full else {}
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.slice(first, len(piece)),
+                        keys.slice(first, len(piece)),
+                        pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([bands.get(k) for k in range(len(sets))], pa.list_(pa.int64())),
+                    ],
+                    schema=_SIGNED,
+                )
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +162,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int = 85) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether 100 * intersection >= percent * union, on sorted distinct numbers."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -142,7 +172,9 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = 85) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def spanning_links(nodes: list, sets: list[np.ndarray], hub: int, cut: list[int] | None = None) -> list[tuple]:
+def spanning_links(
+    nodes: list, sets: list[np.ndarray], hub: int, cut: list[int] | None = None, percent: int = PERCENT
+) -> list[tuple]:
     """Links that connect whatever is connected among ``nodes``, fewer than nodes.
 
     cut: the block of each; pairs within a block are compared only when it is the
@@ -159,7 +191,7 @@ def spanning_links(nodes: list, sets: list[np.ndarray], hub: int, cut: list[int]
     found = []
 
     def meet(x: int, y: int) -> None:
-        if linked(sets[x], sets[y]):
+        if linked(sets[x], sets[y], percent):
             parent[root(x)] = root(y)
             found.append((nodes[x], nodes[y]))
 
@@ -169,25 +201,29 @@ def spanning_links(nodes: list, sets: list[np.ndarray], hub: int, cut: list[int]
     apart = [x for x in range(len(nodes)) if root(x) != root(hub)]
     if not apart:
         return found
-    signed = signatures(sets)
+    signed, sure = signatures(sets, bands_for(percent)), sure_for(percent)
     size = np.array([len(s) for s in sets])
     for x in apart:
         small, large = np.minimum(size, size[x]), np.maximum(size, size[x])
-        near = np.flatnonzero(100 * small >= 85 * large)
-        alike = (signed[near] == signed[x]).mean(axis=1)
-        for y in near[np.argsort(-alike, kind="stable")][: int((alike >= SURE).sum())].tolist():
+        near = np.flatnonzero(100 * small >= percent * large)
+        alike = (signed[near] == signed[x]).sum(axis=1)
+        for y in near[np.argsort(-alike, kind="stable")][: int((alike >= sure).sum())].tolist():
             if root(x) != root(y) and (cut is None or cut[x] != cut[y]):
                 meet(x, y)
     return found
 
 
-def _compare(group: pd.DataFrame) -> pd.DataFrame:
-    nodes = [bytes(n) for n in group["node"]]
-    hub = nodes.index(bytes(group["hub"].iloc[0]))
-    sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-    blocks = group["block"].tolist()
-    two = group["one"].iloc[0] != group["other"].iloc[0]
-    return pd.DataFrame(spanning_links(nodes, sets, hub, blocks if two else None), columns=["a", "b"])
+def _compare(percent: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        nodes = [bytes(n) for n in group["node"]]
+        hub = nodes.index(bytes(group["hub"].iloc[0]))
+        sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+        blocks = group["block"].tolist()
+        two = group["one"].iloc[0] != group["other"].iloc[0]
+        links = spanning_links(nodes, sets, hub, blocks if two else None, percent)
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    return run
 
 
 def _groups(star: DataFrame, sets: DataFrame) -> DataFrame:
@@ -244,11 +280,13 @@ def components(links: DataFrame) -> DataFrame:
         edges = after
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """near_duplicates() with the component's smallest node, null without words."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
     signed = written(
-        source.mapInArrow(_sign, "doc_id long, text_key long, node binary, n_shingles long, keys array<long>")
+        source.mapInArrow(
+            _sign(bands_for(percent)), "doc_id long, text_key long, node binary, n_shingles long, keys array<long>"
+        )
     )
     classes = written(
         signed.filter("node IS NOT NULL")
@@ -275,7 +313,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     ).select("text")
     sets = written(texts.mapInArrow(_sets, "node binary, shingles binary").dropDuplicates(["node"]))
     links = (
-        _groups(star, sets).groupBy("hub", "one", "other").applyInPandas(_compare, "a binary, b binary")
+        _groups(star, sets).groupBy("hub", "one", "other").applyInPandas(_compare(percent), "a binary, b binary")
     )
     labels = components(links)
     lowest = (
@@ -305,25 +343,26 @@ def grouped(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) for each row of docs.
 
+    percent: texts are linked at this similarity of their shingle sets or more.
     docs: doc_id, text, and any other columns, which are ignored. A null or empty text
     and one without words has no shingles and is linked with nothing. Rows may repeat:
     equal texts are linked, whatever their doc_id. component_id is null only where all
     doc_id of a component are null; kept is true where doc_id equals it. An empty table
     gives an empty one.
     """
-    return grouped(docs).drop("component")
+    return grouped(docs, percent).drop("component")
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that stay: one of each component, and all rows without words.
 
     Where several rows have the component's doc_id, the one with the least text_key
     stays, and one only of equal rows. All columns of docs are kept as they are.
     """
-    found = grouped(docs)
+    found = grouped(docs, percent)
     lone = found.filter("n_shingles = 0").select("doc_id", "text_key").distinct()
     first = (
         found.filter("n_shingles > 0 AND kept")

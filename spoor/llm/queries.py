@@ -80,7 +80,7 @@ def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+    return near.near_duplicates(table(spark, sf_dir, "documents"), 85).drop("text_key")
 
 
 @query

@@ -345,6 +345,25 @@ def test_case_and_space_variants_link_their_near_duplicates(spark):
     assert near.without_near_duplicates(table).count() == 13
 
 
+def test_the_similarity_is_a_parameter(spark):
+    rows = []
+    for g in range(20):
+        # 96 shingles each; how many of all are shared
+        base = [f"g{g}w{k}" for k in range(100)]
+        rows.append((10 * g, " ".join(base)))
+        rows.append((10 * g + 1, " ".join(base[:90] + [f"g{g}x{k}" for k in range(10)])))  # 86 of 106
+        rows.append((10 * g + 2, " ".join([f"g{g}y{k}" for k in range(15)] + base[15:])))  # 81 of 111
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near.near_duplicates(table).filter("kept").count() == 60
+    kept = near.without_near_duplicates(table, 80)
+    assert sorted(r.doc_id % 10 for r in kept.collect()) == [0] * 20 + [2] * 20
+
+
+def test_bands_follow_the_similarity():
+    assert [near.bands_for(p) for p in (85, 80)] == [24, 35]
+    assert near.sure_for(85) <= 0.65 * 120 and near.sure_for(80) < near.sure_for(85) / 120 * 175
+
+
 def test_one_of_each_group_stays(odd):
     kept = near.without_near_duplicates(odd)
     assert kept.columns == odd.columns
