@@ -29,6 +29,29 @@ MOST_TEMPLATE_WORDS = 20_000
 """All templates together; their windows are literals of the plan."""
 
 # Wordings of public license notices.
+_CREATIVE_COMMONS = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+
+
+def _creative_commons() -> dict[str, str]:
+    """The short and long wordings of the family; CC-BY-4.0 with "the" stands below."""
+    found = {"CC0-1.0 notice": "Licensed under CC0 1.0 Universal.", "CC0-1.0 short notice": "Released under the CC0 1.0 license."}
+    for short, long in _CREATIVE_COMMONS.items():
+        name = f"CC-{short}-4.0"
+        found[f"{name} notice"] = f"Licensed under CC {short} 4.0."
+        found[f"{name} work notice"] = f"This work is licensed under CC {short} 4.0."
+        found[f"{name} long"] = f"This work is licensed under a Creative Commons {long} 4.0 International License."
+        if name != "CC-BY-4.0":
+            found[name] = f"This work is licensed under the Creative Commons {long} 4.0 International License."
+    return found
+
+
 TEMPLATES = {
     "MIT notice": "Released under the MIT License.",
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
@@ -52,6 +75,74 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "CC-BY-4.0": "This work is licensed under the Creative Commons Attribution 4.0 International License.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MIT conditions": (
+        "The above copyright notice and this permission notice shall be included in all copies or substantial"
+        " portions of the Software."
+    ),
+    "Apache-2.0 body": (
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is"
+        " distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or"
+        " implied."
+    ),
+    "BSD-2-Clause conditions": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+        " following disclaimer."
+    ),
+    "BSD-3-Clause conditions": (
+        "may be used to endorse or promote products derived from this software without specific prior written"
+        " permission."
+    ),
+    "GPL-2.0": (
+        "either version 2 of the License, or (at your option) any later version."
+    ),
+    "GPL-3.0": (
+        "either version 3 of the License, or (at your option) any later version."
+    ),
+    "GPL-3.0 body": (
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works."
+    ),
+    "LGPL": (
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as"
+        " published by the Free Software Foundation"
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the"
+        " License, or (at your option) any later version."
+    ),
+    "LGPL-3.0 body": (
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3"
+        " of the GNU General Public License, supplemented by the additional permissions listed below."
+    ),
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL": (
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as"
+        " published by the Free Software Foundation"
+    ),
+    "AGPL-3.0 body": (
+        "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works,"
+        " specifically designed to ensure cooperation with the community in the case of network server software."
+    ),
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+        " hereby granted, provided that the above copyright notice and this permission notice appear in all"
+        " copies."
+    ),
+    "MPL-2.0 body": (
+        "If a copy of the MPL was not distributed with this file, You can obtain one at"
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public"
+        " License"
+    ),
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors"
+        " be held liable for any damages arising from the use of this software."
+    ),
+    "CC0-1.0": "has waived all copyright and related or neighboring rights to",
+    **_creative_commons(),
 }
 
 _ORDERS = [0x0123456789ABCDEF, 0x7EDCBA9876543210, 0x3C3C5A5A69699696]

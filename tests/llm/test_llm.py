@@ -135,6 +135,55 @@ def test_an_edited_license_is_found(spark):
     assert row.license == "GPL" and 0.8 <= row.containment < 1
 
 
+# Written apart from licenses.TEMPLATES: a notice, and the beginning of the names of its licenses.
+NOTICES = [
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+    ("This work is licensed under CC BY-ND 4.0. To view a copy of this license, visit", "CC-BY-ND-4.0"),
+    (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "CC-BY-NC-SA-4.0",
+    ),
+    (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or"
+        " (at your option) any later version.",
+        "LGPL-2.1",
+    ),
+    (
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published"
+        " by the Free Software Foundation, either version 3 of the License",
+        "AGPL",
+    ),
+    (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "ISC",
+    ),
+    (
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "MPL-2.0",
+    ),
+]
+
+
+def test_common_notices_are_found(spark):
+    rows = [(k, f"some words before it {text} and words after it") for k, (text, _) in enumerate(NOTICES)]
+    found = collections.defaultdict(set)
+    for r in licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r.doc_id].add(r.license)
+    for k, (_, name) in enumerate(NOTICES):
+        assert any(x == name or x.startswith(f"{name} ") for x in found[k]), (name, found[k])
+
+
+def test_every_notice_of_the_documents_is_found(spark, documents):
+    held = documents.filter("text LIKE '%Licensed under CC BY-NC 4.0.%'").select("doc_id").distinct()
+    found = licenses.licenses(documents).filter("license = 'CC-BY-NC-4.0 notice'").select("doc_id")
+    assert held.count() > 0 and held.exceptAll(found).count() == 0
+
+
 # -- repeats ------------------------------------------------------------------------
 
 
