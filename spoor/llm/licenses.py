@@ -11,7 +11,8 @@ an edit inside takes four shingles or more away and a missing end takes any numb
 20 % of m shingles allow m / 20 inner edits, and the longest of the runs left has four
 shingles for every m. Such a run is a window equal to one of the template's, which is
 met with certainty. Each meeting gives an alignment; the shingles of the aligned passage
-are compared exactly. DataFrame functions only.
+and of MARGIN words on both its sides are compared exactly, so up to MARGIN words put into
+a license leave all of its other shingles in sight. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ WORDS = 5
 WINDOW = 4
 BANDS = 3
 PERCENT = 80
+MARGIN = 32
+"""Words on both sides of an aligned passage that count with it."""
 MOST_TEMPLATE_WORDS = 20_000
 """All templates together; their windows are literals of the plan."""
 
@@ -201,11 +204,13 @@ def _template_windows(templates: DataFrame) -> DataFrame:
 
 def licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """(doc_id, text_key, license, containment, first_word): the licenses in each text,
-    with the share of the template's shingles in the best passage and where it begins.
+    with the share of the template's shingles in the best passage and its MARGIN, and where
+    it begins.
 
     docs: doc_id, text, and any other columns, which are ignored. A null, empty or short
     text holds nothing. Rows that repeat a doc_id and its text count as one document; of
-    equally good passages the first counts. An empty table gives an empty one.
+    equally good passages the first counts that needs no margin, or else the first. An empty
+    table gives an empty one.
     """
     spark = docs.sparkSession
     if sum(len(t.split()) for t in templates.values()) > MOST_TEMPLATE_WORDS:
@@ -224,7 +229,7 @@ def licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFram
     keys: dict[tuple, set] = {}
     for size, band, key in _template_windows(known).select("size", "band", "key").distinct().collect():
         keys.setdefault((size, band), set()).add(key)
-    longest = max(len(t.split()) for t in templates.values())
+    reach = max(len(t.split()) for t in templates.values()) + MARGIN
 
     cut = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), words(F.col("text")).alias("words")
@@ -250,8 +255,8 @@ def licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFram
             F.explode_outer(
                 F.expr(
                     "transform(hits, x -> named_struct('at', x.at, 'size', x.class div 16, 'band', x.class % 16,"
-                    f" 'low', greatest(x.at - {longest}, 0),"
-                    f" 'near', slice(words, greatest(x.at - {longest}, 0) + 1, {2 * longest + 16}),"
+                    f" 'low', greatest(x.at - {reach}, 0),"
+                    f" 'near', slice(words, greatest(x.at - {reach}, 0) + 1, {2 * reach + 16}),"
                     f" 'h', slice(h, x.at + 1, {WINDOW})))"
                 )
             ),
@@ -272,12 +277,24 @@ def licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFram
             "passage",
             F.expr("slice(near, start - low + 1, greatest(least(hit_at - at, 0) + length, 0))"),
         )
-        .withColumn("held", F.size(F.array_intersect(shingles("passage"), F.col("wanted"))))
+        .withColumn("from", F.greatest(F.col("hit_at") - F.col("at") - MARGIN, F.lit(0)))
+        .withColumn(
+            "around",
+            F.expr(f"slice(near, `from` - low + 1, greatest(hit_at - at + length + {MARGIN} - `from`, 0))"),
+        )
+        .withColumn("held", F.size(F.array_intersect(shingles("around"), F.col("wanted"))))
         .filter(F.col("held") * 100 >= F.size("wanted") * PERCENT)
+        .withColumn("whole", F.size(F.array_intersect(shingles("passage"), F.col("wanted"))) == F.col("held"))
     )
     return (
         aligned.groupBy("doc_id", "text_key", "license")
-        .agg(F.max(F.struct((F.col("held") / F.size("wanted")).alias("containment"), (-F.col("start")).alias("back"))).alias("best"))
+        .agg(
+            F.max(
+                F.struct(
+                    (F.col("held") / F.size("wanted")).alias("containment"), "whole", (-F.col("start")).alias("back")
+                )
+            ).alias("best")
+        )
         .select(
             "doc_id", "text_key", "license", "best.containment", (-F.col("best.back")).cast("long").alias("first_word")
         )

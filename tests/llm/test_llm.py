@@ -184,6 +184,26 @@ def test_every_notice_of_the_documents_is_found(spark, documents):
     assert held.count() > 0 and held.exceptAll(found).count() == 0
 
 
+def test_words_put_into_a_license_do_not_hide_it(spark):
+    rows, want = [], {}
+    for name in ("MIT", "GPL", "Apache-2.0", "BSD"):
+        w = licenses.TEMPLATES[name].split()
+        total = len(set(zip(*(w[k:] for k in range(5)))))
+        for at in range(len(w)):
+            for many in (1, 3, 20, licenses.MARGIN):
+                put = [f"put{k}" for k in range(many)]
+                text = ["so", "it", "is"] + w[:at] + put + w[at:] + ["end"] * 3
+                shared = set(zip(*(text[k:] for k in range(5)))) & set(zip(*(w[k:] for k in range(5))))
+                if at:  # all shingles but those across the cut
+                    assert len(shared) == total - min(4, at, len(w) - at, total)
+                if len(shared) * 100 >= 80 * total:
+                    want[len(rows), name] = len(shared) / total
+                rows.append((len(rows), " ".join(text)))
+    found = licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    held = {(r.doc_id, r.license): r.containment for r in found if r.license in ("MIT", "GPL", "Apache-2.0", "BSD")}
+    assert any(share < 1 for share in want.values()) and held == want
+
+
 # -- repeats ------------------------------------------------------------------------
 
 
