@@ -9,7 +9,8 @@ Sizes: buckets are as many as the text needs at BUCKET_BYTES each. A first pass
 texts adds up what each bucket would get; windows of a bucket beyond HOT times that are
 dealt to buckets of their own by a second run, at a fixed distance from the minimiser.
 Equal strings of a task go out once, with a mark, so a passage that a third of all
-documents share costs its bucket one string for each task.
+documents share costs its bucket one string for each task. The ranges that such a mark
+settles are merged and dealt over all buckets by row, whatever the text.
 """
 
 from __future__ import annotations
@@ -67,6 +68,14 @@ class Buckets:
             bucket[hot] = first + (mix(runs[at] ^ mix(runs[aside])) % parts.astype(np.uint64)).astype(np.int64)
         return bucket
 
+    def of_rows(self, docs: list[int], keys: list[int], rows: list[int]) -> list[int]:
+        """Of the settled ranges of rows; copies of a text, with or without doc_id, part."""
+        parts = (np.array(x, np.int64).view(np.uint64) for x in (docs, keys, rows))
+        total = np.zeros(len(docs), np.uint64)
+        for part in parts:
+            total = mix(total * np.uint64(0x9E3779B97F4A7C15) + part)
+        return (total % np.uint64(self.count)).tolist()
+
 
 def super_kmers(words: Words, buckets: Buckets) -> tuple[np.ndarray, ...]:
     """(text, first window, last window, bucket) of each; windows by their first word."""
@@ -140,7 +149,7 @@ def _deal(buckets: Buckets):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parcels: dict[int, _Parcel] = {}
-        held = 0
+        held = seen = 0
 
         def flush() -> pa.RecordBatch:
             names = list(parcels)
@@ -154,6 +163,7 @@ def _deal(buckets: Buckets):
             texts = (_squeezed(t) for t in batch.column(2).cast(pa.binary()).to_pylist())
             for base, piece in pieces_of(texts):
                 words = Words(piece)
+                settled: list[list[int]] = []  # row in the batch, begin, end
                 for t, a, b, bucket in zip(*(x.tolist() for x in super_kmers(words, buckets))):
                     string = words.buffer[words.starts[a] : words.ends[b + WINDOW - 1]]
                     doc, key, at = ids[base + t], keys[base + t], a - int(words.first[t])
@@ -162,15 +172,24 @@ def _deal(buckets: Buckets):
                     if known == len(parcel.owners):
                         parcel.owners.append((doc is None, doc or 0, key, at))
                         parcel.often.append(False)
-                        held += len(string)
+                        held += len(string) + 48
+                        continue
+                    parcel.often[known] = True
+                    end = at + b - a + WINDOW
+                    if settled and settled[-1][0] == base + t and at <= settled[-1][2]:
+                        settled[-1][2] = end
                     else:
-                        parcel.often[known] = True
-                        mine = parcels.setdefault(key % buckets.count, _Parcel())
-                        mine.ranges.append((doc is None, doc or 0, key, at, at + b - a + WINDOW))
-                    held += 48
+                        settled.append([base + t, at, end])
+                rows = [r for r, _, _ in settled]
+                dealt = buckets.of_rows([ids[r] or 0 for r in rows], [keys[r] for r in rows], [seen + r for r in rows])
+                for (r, begin, end), bucket in zip(settled, dealt):
+                    mine = parcels.setdefault(bucket, _Parcel())
+                    mine.ranges.append((ids[r] is None, ids[r] or 0, keys[r], begin, end))
+                held += 48 * len(settled)
                 if held > FLUSH_BYTES:
                     yield flush()
                     held = 0
+            seen += len(batch)
         if parcels:
             yield flush()
 

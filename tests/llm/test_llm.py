@@ -6,6 +6,7 @@ import json
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -229,6 +230,25 @@ def test_repeats_equal_plain_counting(documents, odd, none, monkeypatch, size):
     assert substrings.cleaned(none).columns == none.columns and substrings.cleaned(none).count() == 0
 
 
+def test_copies_of_one_text_are_settled_in_all_buckets(spark, monkeypatch):
+    text = " ".join(f"c{k}" for k in range(600))
+    rows = [(k if k % 2 else None, 7, text) for k in range(800)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("doc_id", "text_key", "text"), r)) for r in rows])
+    share = collections.Counter()
+    for out in substrings._deal(substrings.Buckets(64, {}))(iter([batch])):
+        for bucket, blob in zip(*(c.to_pylist() for c in out.columns)):
+            share[bucket] += len(substrings._unpacked(blob)[2])
+    assert sum(share.values()) == 799  # one whole range for each copy after the first
+    assert max(share.values()) < 799 / 8
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 1 << 14)
+    table = spark.createDataFrame(
+        [(doc, f"{text} z{k} {text[:700] if k % 3 else ''}") for k, (doc, _, _) in enumerate(rows)], "doc_id long, text string"
+    )
+    found = substrings.without_repeats(table).collect()
+    want = sorted(plain_repeats([r.text for r in table.collect()]))
+    assert sorted((r.n_words, r.n_removed, r.kept_sha256) for r in found) == want
+
+
 # -- quality ------------------------------------------------------------------------
 
 
