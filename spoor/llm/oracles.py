@@ -118,4 +118,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM base
 """
 
-ORACLE: dict[str, str] = {"op4_substrings": _SUBSTRINGS, "op8_rules": _RULES, "op10_near_duplicates": _NEAR}
+_PLAIN_WORDS = r"""list_filter(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+_BENCHMARKS = f"""
+WITH doc AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_no, doc_id, {_PLAIN_WORDS} AS words FROM documents
+), item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_PLAIN_WORDS} AS words FROM benchmark
+), wanted AS MATERIALIZED (
+  SELECT DISTINCT item, least(len(words), 10) AS size, array_to_string(words[place:place + 9], ' ') AS seq
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 8, 2))) AS place FROM item WHERE len(words) > 0)
+), passage AS (
+  SELECT row_no, place, size, array_to_string(words[place:place + size - 1], ' ') AS seq
+  FROM (
+    SELECT d.row_no, d.words, s.size, unnest(range(1, len(d.words) - s.size + 2)) AS place
+    FROM doc d JOIN (SELECT DISTINCT size FROM wanted) s ON len(d.words) >= s.size
+  )
+), met AS MATERIALIZED (
+  SELECT p.row_no, p.place, p.size, w.item FROM passage p JOIN wanted w ON w.seq = p.seq AND w.size = p.size
+), hit AS (
+  SELECT row_no, count(DISTINCT word) AS n
+  FROM (SELECT DISTINCT row_no, unnest(range(place, place + size)) AS word FROM met) GROUP BY row_no
+), named AS (
+  SELECT row_no, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row_no, item FROM met WHERE item IS NOT NULL) GROUP BY row_no
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n.n, 0) AS BIGINT) AS n_items, sha256(coalesce(n.items, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM doc d LEFT JOIN hit h ON h.row_no = d.row_no LEFT JOIN named n ON n.row_no = d.row_no
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_substrings": _SUBSTRINGS,
+    "op8_rules": _RULES,
+    "op10_near_duplicates": _NEAR,
+    "op11_decontamination": _BENCHMARKS,
+}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spoor.llm import chat, licenses, merkle, mixing, near, pieces, quality, rules, substrings, toxicity
+from spoor.llm import chat, decontamination, licenses, merkle, mixing, near, pieces, quality, rules, substrings, toxicity
 from spoor.llm.oracles import ORACLE  # noqa: F401  (part of this module's interface)
 
 QUERIES: dict = {}
@@ -83,6 +83,19 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), 85).drop("text_key")
 
 
+@query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
