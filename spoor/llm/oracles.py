@@ -150,9 +150,85 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0)
 FROM doc d LEFT JOIN hit h ON h.row_no = d.row_no LEFT JOIN named n ON n.row_no = d.row_no
 """
 
+_RESAMPLING = f"""
+WITH RECURSIVE shift AS (
+  SELECT i, i AS c, 0 AS step FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, step + 1 FROM shift WHERE step < 8
+), crc AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM shift WHERE step = 8
+), doc AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_no, doc_id, {_PLAIN_WORDS} AS words FROM documents
+), word AS MATERIALIZED (
+  SELECT row_no, unnest(words) AS word FROM doc
+), wanted AS MATERIALIZED (
+  SELECT unnest({_PLAIN_WORDS}) AS word FROM benchmark
+), bytes AS (
+  SELECT word, list_transform(range(1, strlen(word) + 1),
+    lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i - 1, 2) AS BIGINT)) AS b
+  FROM (SELECT word FROM word UNION SELECT word FROM wanted)
+), bucket AS MATERIALIZED (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, b),
+    lambda c, x: xor(t[CAST(xor(c, x) & 255 AS BIGINT) + 1], c >> 8))) % 10000 AS bucket
+  FROM bytes, crc
+), own AS (
+  SELECT bucket, count(*) AS n FROM word JOIN bucket USING (word) GROUP BY bucket
+), target AS (
+  SELECT bucket, count(*) AS n FROM wanted JOIN bucket USING (word) GROUP BY bucket
+), total AS (
+  SELECT (SELECT count(*) FROM word) AS s, (SELECT count(*) FROM wanted) AS t
+), gain AS MATERIALIZED (
+  SELECT bucket, CAST(floor(1000 * ln(
+    (CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST(total.s + 10000 AS DOUBLE))
+    / (CAST(coalesce(o.n, 0) + 1 AS DOUBLE) * CAST(total.t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM own o FULL JOIN target t USING (bucket), total
+), weighed AS (
+  SELECT row_no, CAST(sum(gain) AS BIGINT) AS weight FROM word JOIN bucket USING (word) JOIN gain USING (bucket) GROUP BY row_no
+), scored AS (
+  SELECT d.row_no, d.doc_id, CAST(len(d.words) AS BIGINT) AS n_features, CAST(coalesce(w.weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(w.weight, 0) + floor(-1000 * ln(-ln(
+      (CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+  FROM doc d LEFT JOIN weighed w USING (row_no)
+), ranked AS (
+  SELECT row_no, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN r.rank <= 10 * r.n // 100 THEN r.rank END AS rank
+FROM scored s LEFT JOIN ranked r USING (row_no)
+"""
+
+_INFILL = r"""
+WITH doc AS (
+  SELECT doc_id, text, units, len(units) AS n, sha256('1:' || doc_id) AS h
+  FROM (SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units FROM documents)
+), drawn AS (
+  SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS one, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS two,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS three, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS four
+  FROM doc
+), cut AS (
+  SELECT doc_id, text, n,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR three % 100 >= 90
+      THEN 'plain' WHEN four % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(units[1:least(one, two)], '') AS prefix,
+    array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+    array_to_string(units[greatest(one, two) + 1:n], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
 ORACLE: dict[str, str] = {
     "op4_substrings": _SUBSTRINGS,
     "op8_rules": _RULES,
     "op10_near_duplicates": _NEAR,
     "op11_decontamination": _BENCHMARKS,
+    "op12_resampling": _RESAMPLING,
+    "op13_infill": _INFILL,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spoor.llm import chat, decontamination, licenses, merkle, mixing, near, pieces, quality, rules, substrings, toxicity
+from spoor.llm import chat, decontamination, infill, licenses, merkle, mixing, near, pieces, quality, resampling, rules, substrings, toxicity
 from spoor.llm.oracles import ORACLE  # noqa: F401  (part of this module's interface)
 
 QUERIES: dict = {}
@@ -96,6 +96,20 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    gain = resampling.gains(docs, table(spark, sf_dir, "benchmark"))
+    found = resampling.scored(docs, gain, keep=["doc_id"]).drop("row")
+    return resampling.ranked(found).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.transformed(table(spark, sf_dir, "documents"), keep=["doc_id"], with_output=False)
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
