@@ -10,12 +10,11 @@ The log then holds the plan of every write, and ``records_from_log`` reads from
 printed lines what the write read and which columns it selected.
 """
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spoor import constants as c
+from spoor.sources import printed_plan
 
 # Event names and section heads of Spark's log.
 EVENTS = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
@@ -27,8 +26,24 @@ EVENT_SCHEMA = (
     "Event string, executionId bigint, rootExecutionId bigint, time bigint, "
     "description string, physicalPlanDescription string, errorMessage string"
 )
-# How plan lines are indented below their parents.
-INDENT = r"^[\s:|+-]+"
+# Classes of other commands that write, which nothing is derived for.
+HADOOP_INSERT = "InsertIntoHadoopFsRelationCommand"
+OTHER_WRITES = (
+    HADOOP_INSERT,
+    "InsertIntoDataSourceCommand",
+    "InsertIntoDataSourceDirCommand",
+    "InsertIntoHiveDirCommand",
+    "SaveIntoDataSourceCommand",
+    "AppendData",
+    "OverwriteByExpression",
+    "OverwritePartitionsDynamic",
+    "CreateTableAsSelect",
+    "ReplaceTableAsSelect",
+)
+SUPPORTED = tuple(c.OPERATION_TYPES)
+WRITE_COMMANDS = (*SUPPORTED, *OTHER_WRITES)
+CREATING = (c.HIVE_CTAS, c.DATASOURCE_CTAS)
+INSERTING = (c.HIVE_INSERT, HADOOP_INSERT)
 LOGICAL_RELATION = "LogicalRelation"
 # How a whole-table read is printed, and the relation class it stands for.
 PRINTED_RELATIONS = {"Relation": LOGICAL_RELATION, c.HIVE_RELATION: c.HIVE_RELATION}
@@ -37,57 +52,16 @@ LOG_RELATIONS = (c.HIVE_RELATION, LOGICAL_RELATION)
 
 
 def event_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of plain logs below ``path`` as ``file_path, value``."""
+    """Lines of the logs below ``path``, plain or ``.zstd``, as ``file_path, value``."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
     return lines.select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
-def compressed_event_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of ``.zstd`` logs below ``path``; only those about SQL executions.
-
-    Each file is a task's work. Sessions roll their logs at a fixed size, so files are
-    bounded.
-    """
-    marker = EVENTS.encode()
-
-    def unpack(batches):
-        import io
-
-        import zstandard
-
-        for batch in batches:
-            for file_path, content in zip(batch["path"], batch["content"]):
-                reader = zstandard.ZstdDecompressor().stream_reader(
-                    io.BytesIO(content), read_across_frames=True
-                )
-                lines = []
-                for line in io.BufferedReader(reader, 1 << 20):
-                    if marker in line:
-                        lines.append(line.decode())
-                    if len(lines) == 256:
-                        yield pd.DataFrame({"file_path": file_path, "value": lines})
-                        lines = []
-                if lines:
-                    yield pd.DataFrame({"file_path": file_path, "value": lines})
-
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.zstd")
-        .load(path)
-        .select("path", "content")
-    )
-    schema = T.StructType(
-        [T.StructField("file_path", T.StringType()), T.StructField("value", T.StringType())]
-    )
-    return files.mapInPandas(unpack, schema)
-
-
-def executions(lines: DataFrame, only_writes: bool = True) -> DataFrame:
+def executions(lines: DataFrame, only_writes: bool = True, commands=SUPPORTED) -> DataFrame:
     """One row per SQL execution, its outcome, description and printed plan.
 
-    With ``only_writes`` the plans of all other executions are dropped before the
-    shuffle.
+    With ``only_writes`` the executions that name none of ``commands`` are dropped before
+    the shuffle; WRITE_COMMANDS keeps writes without support too, so that they are reported.
     """
     app = F.regexp_extract("file_path", r"((?:application_|app-|local-)\d[0-9A-Za-z_-]*)", 1)
     file_name = F.element_at(F.split("file_path", "/"), -1)
@@ -102,7 +76,7 @@ def executions(lines: DataFrame, only_writes: bool = True) -> DataFrame:
     plan = F.col("physicalPlanDescription")
     if only_writes:
         is_write = F.lit(False)
-        for command in c.OPERATION_TYPES:
+        for command in commands:
             is_write = is_write | plan.contains(command)
         events = events.filter(~is_start | is_write)
     failure = F.coalesce(F.col("errorMessage"), F.lit("")) != ""
@@ -129,11 +103,20 @@ def executions(lines: DataFrame, only_writes: bool = True) -> DataFrame:
 
 
 def scan_event_log(
-    spark: SparkSession, path: str, compressed: bool = False, only_writes: bool = True
+    spark: SparkSession,
+    path: str,
+    compressed: bool = False,
+    only_writes: bool = True,
+    commands=SUPPORTED,
 ) -> DataFrame:
-    """The executions of all event logs below ``path``."""
-    lines = compressed_event_lines if compressed else event_lines
-    return executions(lines(spark, path), only_writes)
+    """The executions of all event logs below ``path``.
+
+    ``compressed`` takes only ``.zstd`` logs; without it all are read, by their endings.
+    """
+    lines = event_lines(spark, path)
+    if compressed:
+        lines = lines.filter(F.col("file_path").rlike(r"\.zstd(\.inprogress)?$"))
+    return executions(lines, only_writes, commands)
 
 
 # --- reading printed plans ------------------------------------------------------------
@@ -144,52 +127,6 @@ def _identifier_part(identifier: Column, from_end: int) -> Column:
     return F.try_element_at(parts, F.lit(-from_end))
 
 
-def _entries(printed: Column) -> Column:
-    """Cut a printed select list into its entries.
-
-    An entry ends with an id and outside parentheses; commas elsewhere belong to it.
-    """
-    opened = lambda text: F.length(F.regexp_replace(text, "[^(]", ""))
-    closed = lambda text: F.length(F.regexp_replace(text, "[^)]", ""))
-
-    def step(acc, piece):
-        entry = F.concat(acc["open"], piece)
-        complete = entry.rlike(r"#\d+L?$") & (opened(entry) == closed(entry))
-        return F.when(
-            complete,
-            F.struct(
-                F.concat(acc["done"], F.array(entry)).alias("done"), F.lit("").alias("open")
-            ),
-        ).otherwise(
-            F.struct(acc["done"].alias("done"), F.concat(entry, F.lit(", ")).alias("open"))
-        )
-
-    start = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit("").alias("open")
-    )
-
-    def finish(acc):
-        # Text with a lone parenthesis never closes; what is left counts as one entry.
-        rest = F.regexp_replace(acc["open"], ", $", "")
-        return F.when(rest == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(rest)))
-
-    return F.aggregate(F.split(printed, ", "), start, step, finish)
-
-
-def _printed_columns(printed: Column, is_partition: bool) -> Column:
-    column = r"\s*(.+?)#(\d+)L?(?:,|$)"
-    names = F.regexp_extract_all(printed, F.lit(column), F.lit(1))
-    ids = F.regexp_extract_all(printed, F.lit(column), F.lit(2))
-    return F.transform(
-        F.arrays_zip(names.alias("name"), ids.alias("id")),
-        lambda x: F.struct(
-            x["id"].cast("long").alias("expr_id"),
-            x["name"].alias("col_name"),
-            F.lit(is_partition).alias("is_partition"),
-        ),
-    )
-
-
 def _printed_input(line: Column, position: Column) -> Column:
     """A leaf relation from its printed line."""
     is_hive = line.startswith(c.HIVE_RELATION)
@@ -205,12 +142,18 @@ def _printed_input(line: Column, position: Column) -> Column:
         F.when(is_hive, c.HIVE_RELATION).otherwise(LOGICAL_RELATION).alias("relation_class"),
         _identifier_part(identifier, 2).alias("in_db"),
         _identifier_part(identifier, 1).alias("in_table"),
-        F.concat(_printed_columns(data, False), _printed_columns(partition, True)).alias("columns"),
+        F.concat(
+            printed_plan.printed_columns(data, False), printed_plan.printed_columns(partition, True)
+        ).alias("columns"),
     )
 
 
-def _printed_entry(entry: Column, position: Column) -> Column:
-    """A select-list entry from its printed text: a bare column or an alias."""
+def _printed_entry(entry: Column, position: Column, known: Column) -> Column:
+    """A select-list entry from its printed text: a bare column or an alias.
+
+    known: the columns of the relations. What is printed like a column but is none of
+    them, as a literal may be, is no leaf.
+    """
     alias, bare = r"(?s)^(.*) AS (.+?)#(\d+)L?$", r"(?s)^(.+)#(\d+)L?$"
     is_alias = entry.rlike(alias)
 
@@ -220,13 +163,19 @@ def _printed_entry(entry: Column, position: Column) -> Column:
         )
 
     expression = F.when(is_alias, F.regexp_extract(entry, alias, 1))
-    ids = F.regexp_extract_all(F.coalesce(expression, entry), F.lit(r"#(\d+)"), F.lit(1))
+    read = F.filter(
+        printed_plan.attributes(F.coalesce(expression, entry)),
+        lambda x: F.coalesce(
+            F.get(known["col_name"], (F.array_position(known["expr_id"], x["id"]) - 1).cast("int")).endswith(x["name"]),
+            F.lit(False),
+        ),
+    )
     leaves = F.transform(
-        ids,
+        read,
         lambda found, order: F.struct(
             order.alias("leaf_ord"),
             F.lit("AttributeReference").alias("leaf_class"),
-            found.cast("bigint").alias("leaf_expr_id"),
+            found["id"].alias("leaf_expr_id"),
         ),
     )
     return F.struct(
@@ -249,76 +198,167 @@ def _problem() -> Column:
     return F.when(~F.col("plan").contains(OPTIMIZED), "no_optimized_plan").when(cut, "cut_plan")
 
 
-def _write_lines(log: DataFrame) -> DataFrame:
-    """Executions that carry a supported write: command, target, query lines."""
-    command = "|".join(c.OPERATION_TYPES)
-    head = F.get("lines", F.lit(0))
-    named = F.regexp_extract(head, r"\w+ ((?:`[^`]+`\.?)+)", 1)
+def _commands(log: DataFrame) -> DataFrame:
+    """One row per write command of ``executions``: command, target, and its query's lines.
+
+    A command counts at the root of the plan or below a union, as a multi-insert has it.
+    The first of an execution has its id, others a number behind it.
+    """
+    head, query = F.col("head"), F.col("query")
+    named = F.regexp_extract(head, r"^\w+ ((?:`[^`]+`\.?)+)", 1)
+    inner = F.regexp_extract(head, r", ((?:`[^`]+`\.)*`[^`]+`)(?:, |$)", 1)
+    v2 = F.regexp_extract(head, r"RelationV2\[[^\]]*\] ([^\s,]+)", 1)
     hive_db = F.regexp_extract(head, r"\[Database: ([^,]*), TableName: ", 1)
     hive_table = F.regexp_extract(head, r", TableName: ([^,\]]+)", 1)
-    is_nested = F.col("execution_id") != F.col("root_execution_id")
-    return (
+    target = F.when(named != "", named).when(inner != "", inner).when(v2 != "", v2)
+    identity = F.concat_ws("/", "app_id", "execution_id")
+    trees = (
         log.filter(_problem().isNull())
-        .withColumn("lines", F.split(_optimized(), "\n"))
-        .withColumn("command_class", F.regexp_extract(head, rf"^\s*({command})\b", 1))
-        .filter(F.col("command_class") != "")
-        # The insert a create-table-as-select runs inside is the same write again.
-        .filter(~(is_nested & (F.col("command_class") == c.HIVE_INSERT)))
-        .withColumn("write_id", F.concat_ws("/", "app_id", "execution_id"))
-        .withColumn(
-            "out_table", F.when(named != "", _identifier_part(named, 1)).otherwise(hive_table)
-        )
-        .withColumn(
-            "out_db",
-            F.when(named != "", _identifier_part(named, 2)).when(hive_db != "", hive_db),
-        )
-        .withColumn("query_line", F.coalesce(F.regexp_replace(F.get("lines", F.lit(1)), INDENT, ""), F.lit("")))
-        .withColumn(
-            "leaf_lines",
-            F.filter(
-                F.transform("lines", lambda line: F.regexp_replace(line, INDENT, "")),
-                lambda line: line.rlike(r"^(Relation [^\[\s]+\[|HiveTableRelation \[)"),
-            ),
-        )
+        .withColumn("nodes", printed_plan.indented(_optimized()))
+        .withColumn("nodes", printed_plan.joined_lines(F.col("nodes")))
+        .withColumn("commands", printed_plan.reached(F.col("nodes"), WRITE_COMMANDS))
+    )
+    heads = (
+        trees.select(*log.columns, "nodes", F.posexplode_outer("commands").alias("number", "at"))
+        .filter("at IS NOT NULL")
+        .withColumn("head", F.get("nodes", F.col("at"))["text"])
+        .withColumn("below", printed_plan.below(F.col("nodes"), F.col("at"))["text"])
+        # What the planner puts between a command and its query.
+        .withColumn("below", _without_first("below", r"^WriteFiles\b"))
+        .withColumn("below", _without_first("below", r"(?s)^Sort \[.*\], false$"))
+        .withColumn("query", F.coalesce(F.get("below", F.lit(0)), F.lit("")))
+    )
+    return (
+        heads.withColumn("command_class", F.regexp_extract(head, r"^(\w+)", 1))
+        .withColumn("write_id", F.when(F.col("number") == 0, identity).otherwise(F.concat_ws("/", identity, "number")))
+        .withColumn("out_table", F.coalesce(_identifier_part(target, 1), F.nullif(hive_table, F.lit(""))))
+        .withColumn("out_db", F.coalesce(_identifier_part(target, 2), F.nullif(hive_db, F.lit(""))))
+        .drop("nodes", "plan", "at", "number")
+    )
+
+
+def _parsed(commands: DataFrame) -> DataFrame:
+    """``_commands`` with the relations read (``inputs``), the select list of a projection
+    (``entries``), and ``verdict``, which is null where a record can be made of it."""
+    query = F.col("query")
+    names = F.split(F.regexp_extract("head", r"\[([^\[\]]*)\]$", 1), ", ")
+    select_list = F.regexp_extract(query, r"(?s)^Project \[(.*)\]$", 1)
+    is_project = query.startswith("Project [")
+    relations = F.filter("below", lambda x: x.rlike(r"^(Relation [^\[\s]+\[|HiveTableRelation \[)"))
+    entries = F.coalesce(
+        printed_plan.named_entries(select_list, names), printed_plan.balanced_entries(select_list)
+    )
+    supported = F.col("command_class").isin(*SUPPORTED)
+    parts = F.struct(
+        F.transform(relations, _printed_input).alias("inputs"), F.when(is_project, entries).alias("entries")
     )
+    # A generator: a filter on the verdict would otherwise cut the select lists once more.
+    return commands.select(
+        *[name for name in commands.columns if name not in ("head", "below")],
+        F.explode_outer(F.array(parts)).alias("parts"),
+    ).select(
+        "*",
+        "parts.*",
+        F.when(~supported, "unsupported")
+        .when(is_project & F.col("parts.entries").isNull(), "unclear_select_list")
+        .alias("verdict"),
+    ).drop("parts")
+
+
+def _without_first(name: str, pattern: str) -> Column:
+    first = F.coalesce(F.get(name, F.lit(0)).rlike(pattern), F.lit(False))
+    return F.when(first, F.slice(name, F.lit(2), F.size(name))).otherwise(F.col(name))
+
+
+def _once(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(writes, repeats): a repeat is the insert that a create-table-as-select runs inside,
+    as an execution of its own below the same root and with the same target. Inserts of
+    file-based tables are printed with their path alone there."""
+    found = _commands(log)
+    nested = (F.col("execution_id") != F.col("root_execution_id")) & F.col("command_class").isin(*INSERTING)
+    creates = F.col("plan").contains(c.HIVE_CTAS) | F.col("plan").contains(c.DATASOURCE_CTAS)
+    made = F.array(F.lower("out_table"), F.when(F.col("command_class") == c.DATASOURCE_CTAS, ""))
+    created = (
+        _commands(log.filter(creates))
+        .filter(F.col("command_class").isin(*CREATING))
+        .select("app_id", "root_execution_id", F.explode(made).alias("made"))
+        .distinct()
+    )
+    inserts = found.filter(nested).withColumn("made", F.coalesce(F.lower("out_table"), F.lit("")))
+    key = ["app_id", "root_execution_id", "made"]
+    repeats = inserts.join(created, key, "left_semi").select(*found.columns)
+    others = inserts.join(created, key, "left_anti").select(*found.columns)
+    return found.filter(~nested).unionByName(others), repeats
 
 
 def unreadable_writes(log: DataFrame) -> DataFrame:
-    """Writes whose plan was not printed in full, so no lineage can be read from it."""
-    return log.select("app_id", "execution_id", _problem().alias("reason")).filter(
-        "reason IS NOT NULL"
+    """Writes no lineage can be read from, and why: the plan was not printed in full
+    (``no_optimized_plan``, ``cut_plan``), or its select list cannot be cut in entries,
+    which a literal with a lone parenthesis may cause (``unclear_select_list``)."""
+    unclear = _parsed(_commands(log)).filter("verdict = 'unclear_select_list'")
+    return (
+        log.select("app_id", "execution_id", _problem().alias("reason"))
+        .filter("reason IS NOT NULL")
+        .unionByName(unclear.select("app_id", "execution_id", F.col("verdict").alias("reason")))
+    )
+
+
+def write_outcomes(log: DataFrame) -> DataFrame:
+    """(write_id, status, command_class, outcome): what became of every write command, and
+    of every execution whose plan has none that can be found.
+
+    outcome: ``record``, ``unsupported``, ``repeat`` (of the create-table-as-select it runs
+    in), a reason of ``unreadable_writes``, or ``no_command``.
+    """
+    writes, repeats = _once(log)
+    columns = ["write_id", "status", "command_class"]
+    whole = F.concat_ws("/", "app_id", "execution_id").alias("write_id")
+    none = F.lit(None).cast("string").alias("command_class")
+    unread = log.select(whole, "status", none, _problem().alias("outcome")).filter("outcome IS NOT NULL")
+    seen = _commands(log).select("app_id", "execution_id").distinct()
+    bare = log.filter(_problem().isNull()).join(seen, ["app_id", "execution_id"], "left_anti")
+    return (
+        _parsed(writes).select(*columns, F.coalesce("verdict", F.lit("record")).alias("outcome"))
+        .unionByName(repeats.select(*columns, F.lit("repeat").alias("outcome")))
+        .unionByName(unread)
+        .unionByName(bare.select(whole, "status", none, F.lit("no_command").alias("outcome")))
     )
 
 
 def records_from_log(log: DataFrame, current_db: str = "default") -> DataFrame:
-    """Nested write records of the writes in ``executions``, without any shuffle.
+    """Nested write records of the writes in ``executions``; only inserts that run inside
+    another execution are shuffled, to find out whether it is the same write.
 
     ``unnest`` turns them into capture tables; store them first, so the log is read
     once. Harvest with ``accepted=LOG_RELATIONS`` to see file-based tables too. The
     statement text is the execution's description, which is the text in the SQL shell
-    or whatever the session set as job description.
+    or whatever the session set as job description. Writes without support are records
+    too, which ``harvest`` reports; those that cannot be read are none, see
+    ``unreadable_writes``.
     """
-    found = _write_lines(log)
-    root = F.regexp_extract("query_line", r"^(\w+)", 1)
+    found, _ = _once(log)
+    root = F.regexp_extract("query", r"^(\w+)", 1)
     relation_class = F.lit(None).cast("string")
     for printed, name in PRINTED_RELATIONS.items():
         relation_class = F.when(root == printed, name).otherwise(relation_class)
-    select_list = F.regexp_extract("query_line", r"^Project \[(.*)\]$", 1)
-    is_project = F.col("query_line").startswith("Project [")
-    return found.select(
-        "write_id",
-        F.lit(None).cast("bigint").alias("thread_id"),
-        F.col("end_ts").alias("exec_ts"),
-        "status",
-        "command_class",
-        "out_db",
-        F.lit(current_db).alias("current_db"),
-        "out_table",
-        F.coalesce(relation_class, root).alias("query_root"),
-        F.col("description").alias("sql_text"),
-        F.lit(None).cast("string").alias("run_user"),
-        F.transform("leaf_lines", _printed_input).alias("inputs"),
-        F.when(is_project, F.transform(_entries(select_list), _printed_entry)).alias(
-            "projections"
-        ),
+    known = F.flatten(F.col("inputs.columns"))
+    return (
+        _parsed(found)
+        .filter("verdict IS NULL OR verdict = 'unsupported'")
+        .withColumn("known", F.struct(known["expr_id"].alias("expr_id"), known["col_name"].alias("col_name")))
+        .select(
+            "write_id",
+            F.lit(None).cast("bigint").alias("thread_id"),
+            F.col("end_ts").alias("exec_ts"),
+            "status",
+            "command_class",
+            "out_db",
+            F.lit(current_db).alias("current_db"),
+            "out_table",
+            F.coalesce(relation_class, root).alias("query_root"),
+            F.col("description").alias("sql_text"),
+            F.lit(None).cast("string").alias("run_user"),
+            "inputs",
+            F.transform("entries", lambda entry, at: _printed_entry(entry, at, F.col("known"))).alias("projections"),
+        )
     )

@@ -86,7 +86,17 @@ FROM fx_plan_node c JOIN fx_plan_node u
 
 
 # Parts that many others read: worked out once.
-SHARED = {"fx_input", "column_map", "direct_match", "direct_entry", "leaf_list", "lineage_column"}
+SHARED = {
+    "fx_write",
+    "fx_input",
+    "fx_projection",
+    "fx_relation_column",
+    "column_map",
+    "direct_match",
+    "direct_entry",
+    "leaf_list",
+    "lineage_column",
+}
 
 
 def _needed(text: str, found: list) -> None:

@@ -213,3 +213,141 @@ def event_log_lineage(spark, sf):
     event_log.records_from_log(log).write.parquet(f"{folder}-records")
     capture = unnest(spark.read.parquet(f"{folder}-records"))
     return _lineage(harvest(capture, accepted=event_log.LOG_RELATIONS).column_lineage)
+
+
+# Plans of six shapes, with {command}, {table}, {source} and {second} put in. Literals are
+# printed bare: one here holds a comma, a lone parenthesis and a line break, one what looks
+# like columns.
+_SOURCE = "Relation {source}[id#1L,a#2] parquet"
+_SECOND = "InsertIntoHiveTable `spark_catalog`.`mart`.`{second}`, x, [a]"
+SHAPES = {
+    "planned": "{command} `spark_catalog`.`mart`.`{table}`, x, [k, total]\n+- WriteFiles\n"
+    "   +- Sort [k#4L ASC NULLS FIRST], false\n"
+    "      +- Project [id#1L AS k#4L, greatest(a#2, 0) AS total#5]\n         +- " + _SOURCE,
+    "multi": "Union false, false\n:- {command} `spark_catalog`.`mart`.`{table}`, x, [k]\n"
+    ":  +- Project [id#1L AS k#4L]\n:     +- " + _SOURCE + "\n+- " + _SECOND + "\n"
+    "   +- Project [a#12]\n      +- Relation spark_catalog.raw.dim[id#11L,a#12] parquet",
+    "literals": "{command} `spark_catalog`.`mart`.`{table}`, x, [lit, b, mark]\n"
+    "   +- Project [x, (y\nz AS lit#12, (a#2 + 1) AS b#13, see total#2 and #1 AS mark#14]\n      +- " + _SOURCE,
+    "unclear": "{command} `spark_catalog`.`mart`.`{table}`, x, [other]\n"
+    "   +- Project [x(y AS lit#12, a#2]\n      +- " + _SOURCE,
+    "copy": "{command} `spark_catalog`.`mart`.`{table}`, x, [id, a]\n+- " + _SOURCE,
+    "created": "CreateHiveTableAsSelectCommand [Database: mart, TableName: {table}, InsertIntoHiveTable]\n"
+    "   +- Project [id#1L AS k#4L]\n      +- " + _SOURCE,
+}
+# Executions inside those of the last shape: the same write again, and another one.
+INNER = {
+    1: "InsertIntoHiveTable `spark_catalog`.`mart`.`{table}`, x, [k]\n+- Project [id#1L AS k#4L]\n   +- " + _SOURCE,
+    2: _SECOND + "\n+- Project [a#2]\n   +- " + _SOURCE,
+}
+
+
+def _shaped_lines(spark, sf):
+    """The events of one execution per order, or three, in plans of all shapes."""
+    values = {
+        "command": F.col("command_class"),
+        "table": F.col("out_table"),
+        "source": F.format_string("spark_catalog.raw.s_%d", F.col("write_id") % 7),
+        "second": F.concat(F.lit("second_"), "out_table"),
+    }
+
+    def filled(plan: str):
+        text = F.lit(plan)
+        for name, value in values.items():
+            text = F.replace(text, F.lit("{" + name + "}"), value)
+        return F.concat(F.lit(event_log.OPTIMIZED), text, F.lit(event_log.PHYSICAL + "\nnone"))
+
+    root = F.col("write_id") * 10
+
+    def events(number: int, plan):
+        execution = root + number
+        start = F.struct(
+            F.lit(event_log.START).alias("Event"),
+            execution.alias("executionId"),
+            root.alias("rootExecutionId"),
+            F.col("sql_text").alias("description"),
+            plan.alias("physicalPlanDescription"),
+            F.lit(1700000000000).alias("time"),
+        )
+        end = F.struct(
+            F.lit(event_log.END).alias("Event"),
+            execution.alias("executionId"),
+            F.lit(1700000001000).alias("time"),
+            F.when(F.col("status") == "failure", "boom").otherwise("").alias("errorMessage"),
+        )
+        return [F.to_json(start), F.to_json(end)]
+
+    plan = F.lit(None).cast("string")
+    for k, text in enumerate(SHAPES.values()):
+        plan = F.when(F.col("write_id") % 6 == k, filled(text)).otherwise(plan)
+    inner = [e for number, text in INNER.items() for e in events(number, filled(text))]
+    lines = F.when(
+        F.col("write_id") % 6 == 5, F.array(*events(0, plan), *inner)
+    ).otherwise(F.array(*events(0, plan)))
+    return fx.writes(spark, sf).select(F.explode(lines).alias("value"))
+
+
+def _shaped_log(spark, sf):
+    """The executions of the shaped plans, scanned from a log and written down."""
+    folder = f"{shared_folder(spark)}/app-20240101-0002"
+    _shaped_lines(spark, sf).write.text(folder)
+    log = event_log.scan_event_log(spark, folder, commands=event_log.WRITE_COMMANDS)
+    log.write.parquet(f"{folder}-executions")
+    return spark.read.parquet(f"{folder}-executions")
+
+
+def _shaped_capture(spark, sf):
+    folder = shared_folder(spark)
+    event_log.records_from_log(_shaped_log(spark, sf)).write.parquet(folder)
+    return unnest(spark.read.parquet(folder))
+
+
+# Every write command of the shaped plans.
+SHAPED_SQL = """
+SELECT w.write_id AS number, w.sql_text, w.status, s.command_class, s.shape, s.target, s.source,
+       concat('app-20240101-0002/', CAST(w.write_id * 10 + s.execution AS STRING), s.tail) AS write_id,
+       s.repeated
+FROM fx_write w, LATERAL (
+  SELECT w.write_id % 6 AS shape, CASE WHEN w.write_id % 6 = 5 THEN 'CreateHiveTableAsSelectCommand' ELSE w.command_class END AS command_class,
+         w.out_table AS target, concat('raw.s_', CAST(w.write_id % 7 AS STRING)) AS source, 0 AS execution, '' AS tail, false AS repeated
+  UNION ALL SELECT 6, 'InsertIntoHiveTable', concat('second_', w.out_table), 'raw.dim', 0, '/1', false WHERE w.write_id % 6 = 1
+  UNION ALL SELECT 7, 'InsertIntoHiveTable', w.out_table, concat('raw.s_', CAST(w.write_id % 7 AS STRING)), 1, '', true WHERE w.write_id % 6 = 5
+  UNION ALL SELECT 8, 'InsertIntoHiveTable', concat('second_', w.out_table), concat('raw.s_', CAST(w.write_id % 7 AS STRING)), 2, '', false WHERE w.write_id % 6 = 5
+) s"""
+
+
+@query(f"""
+SELECT s.write_id, concat('mart.', target, '.', col, '@5k') AS output_column,
+       CASE WHEN input = '' THEN '' ELSE concat(source, '.', input, '@5k') END AS input_columns, type AS dependency_type,
+       replace(expr, '|', chr(10)) AS expression,
+       concat('QUERY:', source, '@5k->:', CASE WHEN lower(sql_text) LIKE '%overwrite%' THEN 'INSERT_OVERWRITE' ELSE 'INSERT' END,
+              ':mart.', target, '@5k:', col) AS qualified_name
+FROM ({SHAPED_SQL}) s JOIN (VALUES
+  (0, 'k', 'id', 'SIMPLE', NULL), (0, 'total', 'a', 'EXPRESSION', 'greatest(a#2, 0)'),
+  (1, 'k', 'id', 'SIMPLE', NULL), (6, 'a', 'a', 'SIMPLE', NULL),
+  (2, 'lit', '', 'EXPRESSION', 'x, (y|z'), (2, 'b', 'a', 'EXPRESSION', '(a#2 + 1)'),
+  (2, 'mark', '', 'EXPRESSION', 'see total#2 and #1'),
+  (4, 'id', 'id', 'SIMPLE', NULL), (4, 'a', 'a', 'SIMPLE', NULL),
+  (5, 'k', 'id', 'SIMPLE', NULL), (8, 'a', 'a', 'SIMPLE', NULL)
+) AS c(shape, col, input, type, expr) ON c.shape = s.shape
+WHERE status = 'success' AND command_class <> 'InsertIntoHadoopFsRelationCommand'""")
+def event_log_shapes(spark, sf):
+    capture = _shaped_capture(spark, sf)
+    found = harvest(capture, accepted=event_log.LOG_RELATIONS).column_lineage
+    return _lineage(found).drop("out_pos")
+
+
+@query(f"""
+SELECT write_id, status, command_class,
+       CASE WHEN repeated THEN 'repeat' WHEN command_class = 'InsertIntoHadoopFsRelationCommand' THEN 'unsupported'
+            WHEN shape = 3 THEN 'unclear_select_list' ELSE 'record' END AS outcome
+FROM ({SHAPED_SQL})""")
+def event_log_outcomes(spark, sf):
+    return event_log.write_outcomes(_shaped_log(spark, sf))
+
+
+@query(f"""
+SELECT write_id, target AS out_table FROM ({SHAPED_SQL})
+WHERE status = 'success' AND command_class = 'InsertIntoHadoopFsRelationCommand'""")
+def event_log_unsupported(spark, sf):
+    return harvest(_shaped_capture(spark, sf)).unsupported.select("write_id", "out_table")
