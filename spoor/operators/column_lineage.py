@@ -68,13 +68,17 @@ def with_dependency_type(cl: DataFrame) -> DataFrame:
     parentheses.
     """
     printed = F.coalesce(F.col("expression"), F.lit(""))
-    plain = ~(F.contains(printed, F.lit("(")) & F.contains(printed, F.lit(")")))
-    simple = F.col("is_direct") | ((F.size("input_columns") == 1) & plain)
+    simple = is_simple(F.col("is_direct"), F.col("input_columns"), printed)
     return cl.withColumn(
         "dependency_type", F.when(simple, c.SIMPLE).otherwise(c.EXPRESSION)
     ).withColumn("expression", F.when(~simple, printed))
 
 
+def is_simple(is_direct: Column, input_columns: Column, printed: Column) -> Column:
+    plain = ~(F.contains(printed, F.lit("(")) & F.contains(printed, F.lit(")")))
+    return is_direct | ((F.size(input_columns) == 1) & plain)
+
+
 def _found(refs: DataFrame, rc: DataFrame) -> DataFrame:
     """References with the relation column of their id, accepted or not."""
     columns = rc.select("write_id", "leaf_pos", "expr_id", "col_name")
@@ -266,7 +270,11 @@ def column_lineage(
         "sorted_inputs",
         "exec_ts",
     )
-    columns = lineage_columns(named, rc, p, pl, ns, strip_ids, accepted)
+    return column_records(lineage_columns(named, rc, p, pl, ns, strip_ids, accepted), ns)
+
+
+def column_records(columns: DataFrame, ns: str) -> DataFrame:
+    """The records of columns that carry their write's names, mode and inputs."""
     database, table, column = F.col("output_db"), F.col("out_table"), F.col("out_name")
     label = names.column_process_label(database, table, column, ns)
 

@@ -188,9 +188,14 @@ def bundle_columns(
     """
     record = F.struct("out_pos", "out_name", "input_columns", "dependency_type", "expression")
     listed = columns.groupBy("write_id").agg(F.collect_list(record).alias("columns"))
+    return bundle_lists(named.join(listed, "write_id", "left"), ns)
+
+
+def bundle_lists(named: DataFrame, ns: str = c.DEFAULT_NAMESPACE) -> DataFrame:
+    """The bundles of ``named_writes`` that have their columns as an array ``columns``."""
     processes = process_records(
-        named, ns, "output_db", "out_table", "sorted_inputs", "write_mode"
-    ).join(listed, "write_id", "left")
+        named, ns, "output_db", "out_table", "sorted_inputs", "write_mode", "columns"
+    )
     millis = epoch_millis(processes, "start_time")
     database, table = F.col("output_db"), F.col("out_table")
 

@@ -46,7 +46,13 @@ def named_writes(
 
     ``input_tables`` is in leaf order, ``sorted_inputs`` joined by bare table name.
     """
-    lists = relation_lists(i, accepted).withColumn(
+    lists = with_input_names(relation_lists(i, accepted), ns)
+    return with_write_mode(with_output_name(w, ns)).join(lists, "write_id")
+
+
+def with_input_names(lists: DataFrame, ns: str) -> DataFrame:
+    """Adds ``input_tables`` and ``sorted_inputs``, the names of the relations in ``leaves``."""
+    lists = lists.withColumn(
         "input_tables",
         F.transform("leaves", lambda x: names.input_table_name(x["in_db"], x["in_table"], ns)),
     )
@@ -61,10 +67,9 @@ def named_writes(
             ),
         )
     )
-    lists = lists.withColumn(
+    return lists.withColumn(
         "sorted_inputs", F.array_join(F.transform(by_name, lambda x: x["table"]), ":")
     )
-    return with_write_mode(with_output_name(w, ns)).join(lists, "write_id")
 
 
 def process_names(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 
 from spoor import constants as c
 from spoor.operators import column_lineage as columns
-from spoor.operators import entities, messages, table_lineage, writes
+from spoor.operators import entities, messages, nested_lineage, table_lineage, writes
 from spoor.operators.relations import ACCEPTED
 from spoor.sources.capture import Capture
 
@@ -92,6 +92,78 @@ def harvest(
     return Harvest(capture, w, i, ns, strip_ids, accepted)
 
 
+@dataclass(frozen=True)
+class RecordHarvest:
+    """The tables of ``Harvest`` from nested records: each record is resolved in its row, so
+    that nothing is shuffled behind it."""
+
+    records: DataFrame
+    writes: DataFrame
+    ns: str
+    strip_ids: bool
+    accepted: tuple
+
+    @cached_property
+    def named(self) -> DataFrame:
+        """Writes with their names and inputs, and their nested columns."""
+        return nested_lineage.named_records(self.writes, self.ns, self.accepted)
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        """``named`` with the lineage of all columns as an array ``columns``."""
+        return nested_lineage.with_columns(self.named, self.ns, self.strip_ids, self.accepted)
+
+    @cached_property
+    def table_edges(self) -> DataFrame:
+        return nested_lineage.table_edges(self.named)
+
+    @cached_property
+    def table_lineage(self) -> DataFrame:
+        return table_lineage.process_records(self.named, self.ns)
+
+    @cached_property
+    def column_lineage(self) -> DataFrame:
+        return nested_lineage.column_lineage(self.resolved, self.ns)
+
+    @cached_property
+    def column_edges(self) -> DataFrame:
+        return columns.column_edges(self.column_lineage)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        """Writes without inputs."""
+        return nested_lineage.rejected_records(self.writes, self.accepted)
+
+    @cached_property
+    def unsupported(self) -> DataFrame:
+        """Successful writes of other command classes."""
+        rest = writes.unsupported_writes(writes.successful(self.records))
+        return rest.drop("inputs", "projections")
+
+    @cached_property
+    def bundles(self) -> DataFrame:
+        """The entities of every write, process first, in one row."""
+        return entities.bundle_lists(self.resolved, self.ns)
+
+
+def harvest_records(
+    records: DataFrame,
+    ns: str = c.DEFAULT_NAMESPACE,
+    classes=writes.SUPPORTED,
+    accepted=ACCEPTED,
+    strip_ids: bool = False,
+    normalize_case: bool = False,
+    dedupe: bool = True,
+) -> RecordHarvest:
+    """As ``harvest``, of nested write records. ``dedupe=False`` is for records whose
+    ``write_id`` is known to be unique, as those of an event log are: no shuffle is left."""
+    w = writes.harvestable(records, classes, dedupe)
+    if normalize_case:
+        ns = ns.lower()
+        w = nested_lineage.lower_case_records(w)
+    return RecordHarvest(records, w, ns, strip_ids, tuple(accepted))
+
+
 def messages_of(
     notifications: DataFrame,
     run_id: str,

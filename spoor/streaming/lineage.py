@@ -1,6 +1,6 @@
 """Lineage of a stream of nested write records, one micro-batch at a time.
 
-Every batch is written down first and then harvested by the batch jobs unchanged.
+Every batch is written down first and then harvested like stored records.
 Results go to a folder per batch that a replay overwrites, so each batch counts once.
 """
 
@@ -13,13 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from spoor import constants as c
 from spoor.operators.column_lineage import column_edges
 from spoor.operators.entities import hook_notifications
-from spoor.plans.harvest import Harvest, harvest, messages_of
+from spoor.plans.harvest import RecordHarvest, harvest_records, messages_of
 from spoor.sinks.publish import Sink, publish
-from spoor.sources.capture import unnest
 
 RESULTS = ("table_edges", "table_lineage", "column_lineage", "rejected")
 
-BatchSink = Callable[[Harvest, int], None]
+BatchSink = Callable[[RecordHarvest, int], None]
 
 
 def first_captures(batch: DataFrame, seen: str, batch_id: int, delay: str) -> DataFrame:
@@ -62,7 +61,7 @@ def stored(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
 def lineage_tables(path: str) -> BatchSink:
     """A sink that keeps all lineage tables below ``path``."""
 
-    def write(result: Harvest, batch_id: int) -> None:
+    def write(result: RecordHarvest, batch_id: int) -> None:
         for name in RESULTS:
             stored(getattr(result, name), f"{path}/{name}", batch_id)
         # Edges come from the columns just written, not from deriving them again.
@@ -90,7 +89,7 @@ def lineage_messages(
     ``retry`` is passed on to ``publish``.
     """
 
-    def send(result: Harvest, batch_id: int) -> None:
+    def send(result: RecordHarvest, batch_id: int) -> None:
         asked = hook_notifications(result.bundles, user)
         sent = messages_of(asked, run_id, source_ip, user, created_ms, max_bytes)
         publish(sent, sink, properties, dead_letters, **retry)
@@ -109,7 +108,7 @@ def harvest_stream(
 ) -> StreamingQuery:
     """Harvest each micro-batch and hand the result to every sink.
 
-    ``options`` go to ``harvest``; ``staging`` keeps the raw records of each batch. With
+    ``options`` go to ``harvest_records``; ``staging`` keeps the raw records of each batch. With
     ``dedupe_delay`` a command counts once as far as its captures are that close.
     """
 
@@ -117,7 +116,7 @@ def harvest_stream(
         kept = stored(batch, staging, batch_id)
         if dedupe_delay is not None:
             kept = first_captures(kept, f"{staging}-seen", batch_id, dedupe_delay)
-        result = harvest(unnest(kept), **options)
+        result = harvest_records(kept, **options)
         for sink in sinks:
             sink(result, batch_id)
 

@@ -4,7 +4,7 @@ the test tables, written to the shared folder first."""
 from pyspark.sql import functions as F
 
 from spoor import constants as c
-from spoor.plans.harvest import harvest
+from spoor.plans.harvest import harvest, harvest_records
 from spoor.session import shared_folder
 from spoor.sinks.publish import file_sink
 from spoor.sources import event_log
@@ -58,6 +58,14 @@ def stored_capture_lineage(spark, sf):
     return _lineage(harvest(read_capture(spark, folder)).column_lineage)
 
 
+@query(LINEAGE_SQL)
+def record_lineage(spark, sf):
+    folder = shared_folder(spark)
+    nest(fx.capture(spark, sf)).write.parquet(folder)
+    records = spark.read.parquet(folder)
+    return _lineage(harvest_records(records, dedupe=False).column_lineage)
+
+
 @query(LINEAGE_SQL)
 def streamed_column_lineage(spark, sf):
     folder = shared_folder(spark)
