@@ -221,11 +221,12 @@ def bundle_lists(named: DataFrame, ns: str = c.DEFAULT_NAMESPACE) -> DataFrame:
         F.when(F.col("columns").isNull(), process)
         .otherwise(F.concat(process, ordered))
         .alias("entities"),
+        F.col("start_time").alias("exec_ts"),
     )
 
 
 def hook_notifications(bundles: DataFrame, user: str) -> DataFrame:
-    """The create request of every bundle."""
+    """The create request of every bundle, with its write's time where bundles have it."""
     message = F.struct(
         F.lit(c.NOTIFICATION_TYPE).alias("type"),
         F.lit(user).alias("user"),
@@ -235,4 +236,5 @@ def hook_notifications(bundles: DataFrame, user: str) -> DataFrame:
         F.col("write_id").alias("msg_seq"),
         "msg_key",
         message.alias("message"),
+        *[name for name in bundles.columns if name == "exec_ts"],
     )

@@ -4,9 +4,10 @@ Every batch is written down first and then harvested like stored records.
 Results go to a folder per batch that a replay overwrites, so each batch counts once.
 """
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +15,7 @@ from spoor import constants as c
 from spoor.operators.column_lineage import column_edges
 from spoor.operators.entities import hook_notifications
 from spoor.plans.harvest import RecordHarvest, harvest_records, messages_of
+from spoor.sinks.outbox import publish_stored
 from spoor.sinks.publish import Sink, publish
 
 RESULTS = ("table_edges", "table_lineage", "column_lineage", "rejected")
@@ -21,33 +23,66 @@ RESULTS = ("table_edges", "table_lineage", "column_lineage", "rejected")
 BatchSink = Callable[[RecordHarvest, int], None]
 
 
-def first_captures(batch: DataFrame, seen: str, batch_id: int, delay: str) -> DataFrame:
+NO_DAY = "none"
+
+
+def _day(pattern: str) -> Column:
+    return F.coalesce(F.date_format(F.to_date(F.col("exec_ts").cast("timestamp")), pattern), F.lit(NO_DAY))
+
+
+def seen_on(spark: SparkSession, seen: str, days: list[str], id_type: str) -> DataFrame:
+    """``write_id, at, batch`` of the captures that earlier batches had on these days.
+
+    Only the folders of these days are listed and opened.
+    """
+    schema = f"write_id {id_type}, at timestamp, day string, batch long"
+    # An empty table gives ``seen`` a folder that always matches.
+    empty = spark.createDataFrame([], schema).withColumns({"day": F.lit(NO_DAY), "batch": F.lit(-1)})
+    empty.write.mode("overwrite").parquet(f"{seen}/day={NO_DAY}/batch=-1")
+    wanted = ",".join(sorted({*days, NO_DAY}))
+    return (
+        spark.read.schema(schema).option("basePath", seen).parquet(f"{seen}/day={{{wanted}}}").filter("batch >= 0")
+    )
+
+
+def first_captures(
+    batch: DataFrame, seen: str, batch_id: int, delay: str, pattern: str = "yyyy-MM-dd"
+) -> DataFrame:
     """The rows of a batch whose command no earlier batch had within ``delay``.
 
-    Each batch leaves its ids in ``seen``, in order of the day of execution, and reads
-    those of the days that its own captures and the delay reach. Late captures stay if they are
-    the first; a replayed batch does not see its own ids. Repeats within the batch stay,
-    as harvesting drops them.
+    Each batch leaves its ids in ``seen``, in a folder for each day of execution, and reads
+    those of the days that its own captures and the delay reach; a late capture adds its
+    own day, not those between. Late captures stay if they are the first; a replayed batch
+    overwrites its ids and does not see them. Repeats within the batch stay, as harvesting
+    drops them. pattern: of the folders' dates; ``yyyy-MM`` makes fewer of them, for
+    batches that reach over years.
     """
     spark = batch.sparkSession
-    mine = batch.select("write_id", F.col("exec_ts").cast("timestamp").alias("at"))
-    reach = F.expr(f"INTERVAL {delay}")
-    first, last = mine.select(F.to_date(F.min("at") - reach), F.to_date(F.max("at") + reach)).first()
-    schema = f"write_id {mine.schema['write_id'].dataType.simpleString()}, at timestamp, day date, batch long"
-    own = mine.withColumn("day", F.to_date("at"))
-    # An empty table gives ``seen`` its folder before the first read.
-    own.limit(0).write.mode("overwrite").parquet(f"{seen}/batch=-1")
-    days = F.col("day").between(F.lit(first), F.lit(last))
+    at, reach = F.col("exec_ts").cast("timestamp"), F.expr(f"INTERVAL {delay}")
+    around = F.sequence(F.to_date(at - reach), F.to_date(at + reach), F.expr("INTERVAL 1 DAY"))
+    # One row for each day of the batch.
+    days = [
+        r.day
+        for r in batch.select(F.to_date(at).alias("exec_ts")).distinct()
+        .select(F.explode(around).alias("exec_ts")).select(_day(pattern).alias("day")).distinct().collect()
+    ]
+    id_type = batch.schema["write_id"].dataType.simpleString()
     earlier = (
-        spark.read.schema(schema).option("basePath", seen).parquet(seen)
-        .filter((F.col("batch") < batch_id) & (F.col("batch") >= 0) & (days | F.col("day").isNull()))
+        seen_on(spark, seen, days, id_type)
+        .filter(F.col("batch") < batch_id)
         .select(F.col("write_id").alias("e_id"), F.col("at").alias("e_at"))
-    )
-    near = F.col("e_at").isNull() | F.col("exec_ts").isNull() | (
-        F.col("exec_ts").cast("timestamp").between(F.col("e_at") - reach, F.col("e_at") + reach)
-    )
+    )
+    near = F.col("e_at").isNull() | F.col("exec_ts").isNull() | at.between(F.col("e_at") - reach, F.col("e_at") + reach)
     fresh = batch.join(earlier, (F.col("write_id") == F.col("e_id")) & near, "left_anti")
-    own.sort("day").write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+    own = batch.select("write_id", at.alias("at"), _day(pattern).alias("day"), F.lit(batch_id).cast("long").alias("batch"))
+    # The files of a day are as few as its rows need, and a hot day is split.
+    (
+        own.hint("rebalance", "day")
+        .write.partitionBy("day", "batch")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(seen)
+    )
     return fresh
 
 
@@ -77,22 +112,30 @@ def lineage_messages(
     run_id: str,
     source_ip: str,
     user: str,
-    created_ms: int,
+    created_ms: int | None = None,
     properties: dict | None = None,
     dead_letters: Sink | None = None,
     max_bytes: int = c.MAX_MESSAGE_BYTES,
+    outbox: str | None = None,
     **retry,
 ) -> BatchSink:
     """A sink that publishes every write's bundle, keyed by its output table.
 
     Message ids are those of the writes, so readers can drop what a replay sends again.
-    ``retry`` is passed on to ``publish``.
+    Without ``created_ms`` messages carry the time their batch is sent. With ``outbox`` each
+    batch's messages are written there once, and go out from it in the order of their
+    writes; a replayed batch goes on where it stopped. ``retry`` is passed on to ``publish``
+    or ``publish_stored``.
     """
 
     def send(result: RecordHarvest, batch_id: int) -> None:
         asked = hook_notifications(result.bundles, user)
-        sent = messages_of(asked, run_id, source_ip, user, created_ms, max_bytes)
-        publish(sent, sink, properties, dead_letters, **retry)
+        created = time.time_ns() // 1_000_000 if created_ms is None else created_ms
+        sent = messages_of(asked, run_id, source_ip, user, created, max_bytes)
+        if outbox is None:
+            publish(sent, sink, properties, dead_letters, **retry)
+        else:
+            publish_stored(sent, f"{outbox}/batch={batch_id}", sink, properties, dead_letters, **retry)
 
     return send
 

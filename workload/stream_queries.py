@@ -1,11 +1,13 @@
 """Registered queries that run streams and event-log scans over data Spark derives from
 the test tables, written to the shared folder first."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spoor import constants as c
 from spoor.plans.harvest import harvest, harvest_records
 from spoor.session import shared_folder
+from spoor.sinks.outbox import publish_stored
 from spoor.sinks.publish import file_sink
 from spoor.sources import event_log
 from spoor.sources.capture import nest, read_capture, stream_capture, unnest, write_capture
@@ -101,14 +103,14 @@ def streamed_dedupe(spark, sf):
     turn = F.pmod("write_id", F.lit(3))
 
     def keep(batch, batch_id):
-        fresh = lineage.first_captures(batch, f"{folder}/seen", batch_id, "1 day")
+        fresh = lineage.first_captures(batch, f"{folder}/seen", batch_id, "1 day", "yyyy-MM")
         lineage.stored(fresh.select("write_id").distinct(), f"{folder}/unique", batch_id)
 
     # Four arrivals, by turns and not by time: each has repeats of the one before, and
     # first captures later than the delay.
     for arrival in range(4):
         part = writes.filter((turn == arrival) | (turn == arrival - 1))
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/captures")
+        part.write.mode("append").parquet(f"{folder}/captures")
         captures = stream_capture(spark, f"{folder}/captures", "write_id bigint, exec_ts timestamp")
         (
             captures.writeStream.foreachBatch(keep)
@@ -359,3 +361,28 @@ SELECT write_id, target AS out_table FROM ({SHAPED_SQL})
 WHERE status = 'success' AND command_class = 'InsertIntoHadoopFsRelationCommand'""")
 def event_log_unsupported(spark, sf):
     return harvest(_shaped_capture(spark, sf)).unsupported.select("write_id", "out_table")
+
+
+@query("""
+SELECT msg_key AS key, msg_seq, row_number() OVER (PARTITION BY msg_key ORDER BY msg_seq) AS place
+FROM fx_payload WHERE msg_key IS NOT NULL""")
+def ordered_outbox(spark, sf):
+    """The place at which each message of a key was sent, through an outbox of few ranges."""
+    folder = shared_folder(spark)
+    msgs = fx.payloads(spark, sf).select(
+        "msg_key", F.concat_ws(" ", "msg_seq", "payload").alias("value"), "msg_seq"
+    )
+    calls = iter(range(1 << 30))
+
+    def send(rows):
+        placed = rows.withColumn("at", F.monotonically_increasing_id())
+        placed.write.parquet(f"{folder}/topic/call={next(calls)}")
+
+    publish_stored(msgs, f"{folder}/outbox", send, ranges=16)
+    order = Window.partitionBy("key").orderBy("call", "at")
+    received = spark.read.parquet(f"{folder}/topic").filter("key IS NOT NULL")
+    return received.select(
+        "key",
+        F.split("value", " ")[0].cast("long").alias("msg_seq"),
+        F.row_number().over(order).cast("long").alias("place"),
+    )
