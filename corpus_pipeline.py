@@ -10,8 +10,8 @@ from spoor.llm.tables import written
 ORACLE_SQL = None
 """SQL has neither the classifier nor the merges; tests compare with plain loops."""
 
-NEAR_PERCENT = 85
-"""The stage links at the similarity of op10_near_duplicates; the test of the stages asks for that."""
+NEAR_PERCENT = 80
+"""The least similarity of near duplicates, in percent."""
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, at a similarity of 0.85 or more."""
+    """One document of each group of near duplicates, at a similarity of 0.8 or more."""
     return near.without_near_duplicates(docs, NEAR_PERCENT)
 
 
