@@ -471,7 +471,7 @@ def test_pipeline_stages(spark, small_dir):
         if k < 4:
             assert docs.columns == columns
         if k == 1:
-            assert docs.count() == near.near_duplicates(before).filter("kept").count()
+            assert docs.count() == near.near_duplicates(before, corpus_pipeline.NEAR_PERCENT).filter("kept").count()
         if k == 2:
             want = sorted(x[2] for x in plain_repeats([r.text for r in before.collect()]))
             assert sorted(hashlib.sha256(r.text.encode()).hexdigest() for r in docs.collect()) == want
