@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoor.sources.capture import Capture
+from spoor.sources.raw_capture import RawCapture
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -214,6 +215,36 @@ def payloads(spark, sf_dir):
     )
 
 
+RAW_TEXT = """CASE o_orderkey % 5
+             WHEN 0 THEN 'INSERT OVERWRITE TABLE x SELECT * FROM y'
+             WHEN 1 THEN 'CREATE TABLE Overwrite_log AS SELECT * FROM y'
+             ELSE 'INSERT INTO x SELECT * FROM y' END"""
+
+
+def raw_capture(spark: SparkSession, sf_dir: str) -> RawCapture:
+    """A plan for each customer with orders, run at the last of them; texts parsed before."""
+    orders, whole = table(spark, sf_dir, "orders"), capture(spark, sf_dir)
+    parses = orders.filter("o_orderkey % 3 = 0").selectExpr(
+        "o_orderkey AS event_id", "o_custkey % 16 AS thread_id", "o_orderdate AS ts", RAW_TEXT + " AS sql_text"
+    )
+    runs = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("ts")).selectExpr(
+        "o_custkey AS query_id",
+        "o_custkey % 16 AS thread_id",
+        "ts",
+        "if(o_custkey % 9 = 0, 'failure', 'success') AS status",
+    )
+    return RawCapture(
+        parses,
+        runs,
+        plan_nodes(spark, sf_dir),
+        whole.writes.drop("thread_id", "exec_ts", "status", "sql_text"),
+        whole.inputs,
+        whole.relation_columns,
+        whole.projections,
+        whole.projection_leaves,
+    )
+
+
 VERSION_TEXT = """CASE o_orderkey % 9
     WHEN 0 THEN CAST(o_custkey % 4 AS STRING)
     WHEN 1 THEN concat(CAST(o_custkey % 3 AS STRING), '.0')
@@ -319,6 +350,18 @@ SELECT o_custkey, o_orderkey, CAST(-1 AS BIGINT),
        CASE o_orderkey % 7 WHEN 0 THEN 'LeafExecNode' WHEN 1 THEN 'WriteToDataSourceV2Exec' WHEN 2 THEN 'FilterExec' ELSE 'DataWritingCommandExec' END,
        CASE WHEN o_orderkey % 7 > 2 THEN o_orderkey ELSE NULL END
 FROM orders""",
+    "fx_raw_text": f"""
+SELECT query_id, thread_id, ts, status, sql_text FROM (
+  SELECT query_id, thread_id, ts, status, kind, last_value(sql_text IGNORE NULLS) OVER (
+    PARTITION BY thread_id ORDER BY ts, kind, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sql_text
+  FROM (
+    SELECT NULL AS query_id, o_orderkey AS event_id, o_custkey % 16 AS thread_id, o_orderdate AS ts, NULL AS status,
+           {RAW_TEXT} AS sql_text, 0 AS kind FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL
+    SELECT o_custkey, o_custkey, o_custkey % 16, max(o_orderdate),
+           CASE WHEN o_custkey % 9 = 0 THEN 'failure' ELSE 'success' END, NULL, 1 FROM orders GROUP BY o_custkey
+  )
+) WHERE kind = 1""",
     "fx_payload": """
 SELECT doc_id AS msg_seq,
        CASE WHEN doc_id % 10 = 0 THEN NULL ELSE concat('mart.t_', CAST(doc_id % 50 AS STRING), '@5k') END AS msg_key,

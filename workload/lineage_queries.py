@@ -8,7 +8,9 @@ from spoor.operators import column_lineage as cols
 from spoor.operators import relations, statements, table_lineage, writes
 from spoor.operators.spread import position_block, spread_join
 from spoor.plans.harvest import harvest
+from spoor.sources.raw_capture import paired
 from workload import fixtures as fx
+from workload.sql import on_raw_writes
 
 QUERIES = {}
 ORACLE = {}
@@ -401,3 +403,26 @@ FROM lineage_column""")
 def normalized_lineage(spark, sf):
     # Both ends of every edge in lower case, expressions without plan ids.
     return _lineage(spark, sf, normalize_case=True, strip_ids=True).drop("qualified_name")
+
+
+# --- from what a session's hooks see ----------------------------------------------------
+
+
+@query(on_raw_writes(LINEAGE_SQL))
+def raw_capture_lineage(spark, sf):
+    found = harvest(paired(fx.raw_capture(spark, sf))).column_lineage
+    return _text(found).select(
+        "write_id",
+        "out_pos",
+        "output_column",
+        "input_columns",
+        "dependency_type",
+        "expression",
+        "qualified_name",
+    )
+
+
+@query(on_raw_writes("SELECT write_id, thread_id, status, command_class, sql_text, run_user FROM fx_write"))
+def paired_writes(spark, sf):
+    found = paired(fx.raw_capture(spark, sf)).writes
+    return found.select("write_id", "thread_id", "status", "command_class", "sql_text", "run_user")

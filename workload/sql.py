@@ -85,8 +85,40 @@ FROM fx_plan_node c JOIN fx_plan_node u
 }
 
 
+RAW_WRITES = """
+SELECT w.write_id, e.thread_id, e.ts AS exec_ts, e.status, w.command_class, w.out_db, w.current_db,
+       w.out_table, w.query_root, e.sql_text, w.run_user
+FROM fx_write w
+JOIN (SELECT DISTINCT query_id, write_id FROM candidate WHERE node_class = 'DataWritingCommandExec') n
+  ON n.write_id = w.write_id
+JOIN fx_raw_text e ON e.query_id = n.query_id"""
+
+
+def _reads(name: str, wanted: str) -> bool:
+    return any(
+        other == wanted or _reads(other, wanted)
+        for other in PARTS
+        if other != name and re.search(rf"\b{other}\b", PARTS[name])
+    )
+
+
+def on_raw_writes(body: str) -> str:
+    """``body`` and its parts, read from RAW_WRITES in place of the captured writes."""
+    moved = ["fx_write", *(name for name in list(PARTS) if _reads(name, "fx_write"))]
+
+    def renamed(text: str) -> str:
+        return re.sub(rf"\b({'|'.join(moved)})\b", r"raw_\1", text)
+
+    for name in moved:
+        PARTS[f"raw_{name}"] = RAW_WRITES if name == "fx_write" else renamed(PARTS[name])
+    return renamed(body)
+
+
 # Parts that many others read: worked out once.
 SHARED = {
+    "fx_raw_text",
+    "raw_fx_write",
+    "raw_lineage_column",
     "fx_write",
     "fx_input",
     "fx_projection",
