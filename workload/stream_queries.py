@@ -386,3 +386,27 @@ def ordered_outbox(spark, sf):
         F.split("value", " ")[0].cast("long").alias("msg_seq"),
         F.row_number().over(order).cast("long").alias("place"),
     )
+
+
+@query("""
+SELECT e.event_id, e.thread_id, e.status, p.sql_text
+FROM fx_exec e ASOF LEFT JOIN fx_parse p ON e.thread_id = p.thread_id AND e.ts >= p.ts""")
+def streamed_statement_state(spark, sf):
+    """Five arrivals over texts that are put together every other batch."""
+    folder = shared_folder(spark)
+    parse = fx.parses(spark, sf).withColumn("is_parse", F.lit(True))
+    execs = fx.executions(spark, sf).withColumn("is_parse", F.lit(False))
+    events = parse.unionByName(execs, allowMissingColumns=True).withColumn("ts", F.col("ts").cast("timestamp"))
+    turn = F.least(F.floor((F.dayofmonth("ts") - 1) / 6), F.lit(4))
+    for arrival in range(5):
+        events.filter(turn == arrival).write.mode("append").parquet(f"{folder}/events")
+        stream = stream_capture(spark, f"{folder}/events", statements.EVENT_SCHEMA)
+        statements.statement_stream(
+            stream,
+            f"{folder}/out",
+            f"{folder}/state",
+            f"{folder}/staging",
+            f"{folder}/checkpoint",
+            compact=2,
+        ).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("event_id", "thread_id", "status", "sql_text")
