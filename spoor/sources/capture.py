@@ -5,6 +5,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spoor.operators.writes import dedupe_commands
+
 COLUMN = "struct<expr_id:bigint,col_name:string,is_partition:boolean>"
 LEAF = "struct<leaf_ord:int,leaf_class:string,leaf_expr_id:bigint>"
 INPUT = (
@@ -51,6 +53,21 @@ def write_capture(capture: Capture, path: str, mode: str = "append") -> None:
         getattr(capture, name).write.mode(mode).parquet(f"{path}/{name}")
 
 
+def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
+    """Nested records as stored captures: each command once, rows of one outcome, class and
+    query root together, so that a harvest's filters skip row groups.
+
+    All that lineage needs of a write lies in its row, so that nothing is shuffled to read
+    it back: ``harvest_records(read_records(...), dedupe=False)``.
+    """
+    kept = dedupe_commands(records)
+    kept.sortWithinPartitions("status", "command_class", "query_root").write.mode(mode).parquet(path)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def parse_records(received: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
     """Nested write records from JSON in ``value``; see ``unparsed_records``."""
     value = F.col("value").cast("string")

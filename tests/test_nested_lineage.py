@@ -3,6 +3,7 @@
 from captures import column, entry, leaf, records, write
 from pyspark.sql import functions as F
 from spoor.plans.harvest import harvest, harvest_records
+from spoor.sources import capture
 from spoor.sources.capture import nest, unnest
 from workload import fixtures as fx
 
@@ -59,12 +60,15 @@ def test_same_on_hand_made_records(spark):
 
 
 def test_nothing_is_shuffled_behind_a_record(spark, small_dir, tmp_path):
-    nest(fx.capture(spark, small_dir)).write.parquet(str(tmp_path / "records"))
-    found = harvest_records(spark.read.parquet(str(tmp_path / "records")), dedupe=False)
+    capture.write_records(nest(fx.capture(spark, small_dir)), str(tmp_path / "records"))
+    found = harvest_records(capture.read_records(spark, str(tmp_path / "records")), dedupe=False)
     for name in (*TABLES, "bundles"):
         text = getattr(found, name)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in text and "Join" not in text, name
         assert text.count("FileScan") == 1, name
+        if name != "unsupported":
+            pushed = text.split("PushedFilters: [")[1]
+            assert "EqualTo(status,success)" in pushed and "In(command_class, [" in pushed, name
 
 
 def test_a_repeated_record_counts_once(spark):

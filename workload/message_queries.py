@@ -367,7 +367,7 @@ def clean_lists(spark, sf):
 # --- outbox ---------------------------------------------------------------------------
 
 
-def _received(spark, sent):
+def received(spark, sent):
     """Published messages as a reader of the outbox sees them, put together again."""
     folder = shared_folder(spark)
     publish(sent, file_sink(folder))
@@ -383,7 +383,7 @@ FROM fx_payload""")
 def outbox_messages(spark, sf):
     asked = _payloads(spark, sf, "message")
     sent = messages_of(asked, RUN_ID, "10.0.0.1", "spark", 1700000000000, MAX_BYTES)
-    return _received(spark, sent).select(
+    return received(spark, sent).select(
         "key",
         "topic",
         F.get_json_object("msg_json", "$.message").alias("message"),
@@ -402,7 +402,7 @@ def published_lineage(spark, sf):
     asked = entities.hook_notifications(bundles, "spark")
     sent = messages_of(asked, RUN_ID, "10.0.0.1", "spark", 1700000000000, 2000)
     listed = "$.message.entities.entities"
-    return _received(spark, sent).select(
+    return received(spark, sent).select(
         "key",
         "topic",
         F.get_json_object("msg_json", listed + "[0].attributes.qualifiedName").alias("first_name"),

@@ -10,7 +10,15 @@ from spoor.session import shared_folder
 from spoor.sinks.outbox import publish_stored
 from spoor.sinks.publish import file_sink
 from spoor.sources import event_log
-from spoor.sources.capture import nest, read_capture, stream_capture, unnest, write_capture
+from spoor.sources.capture import (
+    nest,
+    read_capture,
+    read_records,
+    stream_capture,
+    unnest,
+    write_capture,
+    write_records,
+)
 from spoor.streaming import lineage, statements
 from workload import fixtures as fx
 from workload.lineage_queries import LINEAGE_SQL
@@ -63,9 +71,8 @@ def stored_capture_lineage(spark, sf):
 @query(LINEAGE_SQL)
 def record_lineage(spark, sf):
     folder = shared_folder(spark)
-    nest(fx.capture(spark, sf)).write.parquet(folder)
-    records = spark.read.parquet(folder)
-    return _lineage(harvest_records(records, dedupe=False).column_lineage)
+    write_records(nest(fx.capture(spark, sf)), folder)
+    return _lineage(harvest_records(read_records(spark, folder), dedupe=False).column_lineage)
 
 
 @query(LINEAGE_SQL)
