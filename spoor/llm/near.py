@@ -8,10 +8,10 @@ similarity s shares none with probability ``(1 - s^5)^bands < 1e-6`` (24 at 0.85
 0.80). Every candidate is confirmed on the full sets.
 
 Documents with equal sets are one class from the start, so copies cost one row each.
-The members of all buckets that have the same busiest member (their hub) are compared
-in one group: first with the hub, then with each other, as long as they are not
-connected yet. A group sends on at most one link for each member. Groups beyond
-GROUP_BYTES are cut in blocks, and every two blocks make a task.
+The members of all buckets that have the same busiest member (their hub) make a group.
+Each is compared with the hub once, in blocks of GROUP_BYTES. Those not linked with it,
+and no others, meet all members, a block of the ones and a block of the others in each
+task. A task sends on at most one link for each member.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoor.llm.tables import text_key, written
@@ -172,13 +172,13 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def spanning_links(
-    nodes: list, sets: list[np.ndarray], hub: int, cut: list[int] | None = None, percent: int = PERCENT
+def links_between(
+    nodes: list, sets: list[np.ndarray], asks: list[bool], met: list[bool], percent: int = PERCENT
 ) -> list[tuple]:
-    """Links that connect whatever is connected among ``nodes``, fewer than nodes.
+    """Links that connect whatever is connected by the members that ask, fewer than nodes.
 
-    cut: the block of each; pairs within a block are compared only when it is the
-    only block here, since another task has them.
+    asks: members that are compared with all others here; those with ``met`` are connected
+    to each other already, by their hub.
     """
     parent = list(range(len(nodes)))
 
@@ -188,69 +188,111 @@ def spanning_links(
             x = parent[x]
         return x
 
+    one = [x for x in range(len(nodes)) if met[x]]
+    for x in one[1:]:
+        parent[x] = one[0]
     found = []
-
-    def meet(x: int, y: int) -> None:
-        if linked(sets[x], sets[y], percent):
-            parent[root(x)] = root(y)
-            found.append((nodes[x], nodes[y]))
-
-    for x in range(len(nodes)):
-        if x != hub:
-            meet(x, hub)
-    apart = [x for x in range(len(nodes)) if root(x) != root(hub)]
-    if not apart:
-        return found
     signed, sure = signatures(sets, bands_for(percent)), sure_for(percent)
     size = np.array([len(s) for s in sets])
-    for x in apart:
+    for x in (x for x in range(len(nodes)) if asks[x]):
         small, large = np.minimum(size, size[x]), np.maximum(size, size[x])
         near = np.flatnonzero(100 * small >= percent * large)
         alike = (signed[near] == signed[x]).sum(axis=1)
         for y in near[np.argsort(-alike, kind="stable")][: int((alike >= sure).sum())].tolist():
-            if root(x) != root(y) and (cut is None or cut[x] != cut[y]):
-                meet(x, y)
+            if root(x) != root(y) and linked(sets[x], sets[y], percent):
+                parent[root(x)] = root(y)
+                found.append((nodes[x], nodes[y]))
     return found
 
 
-def _compare(percent: int):
+def _meet_hub(percent: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        hub = bytes(group["hub"].iloc[0])
         nodes = [bytes(n) for n in group["node"]]
-        hub = nodes.index(bytes(group["hub"].iloc[0]))
         sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-        blocks = group["block"].tolist()
-        two = group["one"].iloc[0] != group["other"].iloc[0]
-        links = spanning_links(nodes, sets, hub, blocks if two else None, percent)
+        own = sets[nodes.index(hub)]
+        rows = [(hub, n, linked(s, own, percent)) for n, s in zip(nodes, sets) if n != hub]
+        return pd.DataFrame(rows, columns=["hub", "node", "met"])
+
+    return run
+
+
+def _meet_all(percent: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        # A member that asks may be among those asked as well: once is enough.
+        group = group.assign(node=[bytes(n) for n in group["node"]])
+        group = group.sort_values("asks", ascending=False, kind="stable").drop_duplicates("node")
+        sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+        links = links_between(group["node"].tolist(), sets, group["asks"].tolist(), group["met"].tolist(), percent)
         return pd.DataFrame(links, columns=["a", "b"])
 
     return run
 
 
-def _groups(star: DataFrame, sets: DataFrame) -> DataFrame:
-    """(hub, one, other, block, node, shingles): the tasks of _compare.
+def _every(blocks: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+
+def _blocks(sized: DataFrame, name: str) -> DataFrame:
+    """(hub, name): as many blocks as the members' bytes need."""
+    return sized.groupBy("hub").agg(F.ceil(F.sum("size") / GROUP_BYTES).cast("int").alias(name))
+
 
-    A hub's members lie in as many blocks as their bytes need; task (one, other) has
-    two of the blocks, or one of them twice. The hub itself is in every task.
+def _with_blocks(rows: DataFrame, blocks: DataFrame, name: str, place: str) -> DataFrame:
+    """rows with their hub's number of blocks, and the block ``place`` of their node.
+
+    Only hubs of two blocks or more are joined: they are few, so that no hub's rows need
+    meet in one task.
     """
-    sized = star.join(sets.select("node", F.length("shingles").alias("size")), "node")
-    blocks = sized.groupBy("hub").agg(F.ceil(F.sum("size") / GROUP_BYTES).cast("int").alias("blocks"))
-    placed = star.join(blocks, "hub").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    many = written(blocks.filter(F.col(name) > 1))
+    counted = rows.join(many, "hub", "left").withColumn(name, F.coalesce(name, F.lit(1)))
+    return counted.withColumn(place, F.pmod(F.xxhash64("node"), F.col(name)).cast("int"))
+
+
+def _hub_tasks(sized: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hub, block, node, shingles): each member in one block, the hub in all of them."""
+    placed = _with_blocks(sized, _blocks(sized, "blocks"), "blocks", "block")
+    is_hub = F.col("node") == F.col("hub")
+    tasks = (
+        placed.filter(~is_hub).select("hub", "block", "node")
+        .unionByName(placed.filter(is_hub).select("hub", _every("blocks").alias("block"), "node"))
+    )
+    return tasks.join(sets, "node")
+
+
+def _rest_tasks(met: DataFrame, sized: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hub, one, other, node, asks, met, shingles): the members that their hub did not
+    meet in blocks ``one``, all members in blocks ``other``; every two blocks are a task."""
+    members = _with_blocks(met.join(sized, ["hub", "node"]), _blocks(sized, "others"), "others", "other")
+    apart = members.filter("NOT met")
+    ones = _blocks(apart, "ones")
+    asking = _with_blocks(apart.drop("other"), ones, "ones", "one").select(
+        "hub", "one", _every("others").alias("other"), "node", F.lit(True).alias("asks"), "met"
     )
-    mine = F.when(
-        F.col("node") == F.col("hub"),
-        F.expr(
-            "flatten(transform(sequence(0, blocks - 1), i -> transform(sequence(i, blocks - 1),"
-            " j -> named_struct('one', i, 'other', j))))"
-        ),
-    ).otherwise(
-        F.expr(
-            "transform(sequence(0, blocks - 1),"
-            " i -> named_struct('one', least(i, block), 'other', greatest(i, block)))"
-        )
+    # Hubs whose members ask, once for each block of theirs.
+    asked_of = apart.groupBy("hub").agg(F.max("others").alias("others")).join(ones, "hub")
+    asked = members.drop("others").join(
+        asked_of.select("hub", "ones", _every("others").alias("other")), ["hub", "other"]
     )
-    tasks = placed.withColumn("task", F.explode(mine)).select("hub", "task.one", "task.other", "block", "node")
-    return tasks.join(sets, "node")
+    return asking.unionByName(
+        asked.select("hub", _every("ones").alias("one"), "other", "node", F.lit(False).alias("asks"), "met")
+    ).join(sets, "node")
+
+
+def _links(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect whatever is connected within each hub's group."""
+    sized = written(star.join(sets.select("node", F.length("shingles").cast("long").alias("size")), "node"))
+    met = written(
+        _hub_tasks(sized, sets)
+        .groupBy("hub", "block")
+        .applyInPandas(_meet_hub(percent), "hub binary, node binary, met boolean")
+    )
+    rest = (
+        _rest_tasks(met, sized, sets)
+        .groupBy("hub", "one", "other")
+        .applyInPandas(_meet_all(percent), "a binary, b binary")
+    )
+    return met.filter("met").select(F.col("hub").alias("a"), F.col("node").alias("b")).unionByName(rest)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -312,10 +354,7 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "left_semi",
     ).select("text")
     sets = written(texts.mapInArrow(_sets, "node binary, shingles binary").dropDuplicates(["node"]))
-    links = (
-        _groups(star, sets).groupBy("hub", "one", "other").applyInPandas(_compare(percent), "a binary, b binary")
-    )
-    labels = components(links)
+    labels = components(_links(star, sets, percent))
     lowest = (
         labels.join(classes.select("node", "doc_id"), "node")
         .unionByName(
