@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from spoor.functions.times import epoch_micros
+from spoor.operators.spread import unbroadcast
 
 HOUR = 3600
 
@@ -66,7 +67,7 @@ def statement_context(parse: DataFrame, execs: DataFrame, slice_seconds: int = H
         .filter(F.col("_kind") == 0)
         .drop("_latest", "_kind")
     )
-    return within.join(carried, ["thread_id", "_slice"], "left").select(
+    return within.join(unbroadcast(carried), ["thread_id", "_slice"], "left").select(
         "event_id",
         "thread_id",
         "ts",

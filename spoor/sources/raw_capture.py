@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoor.operators.spread import spread_join
+from spoor.operators.spread import spread_join, unbroadcast
 from spoor.operators.statements import HOUR, statement_context
 from spoor.operators.writes import write_commands
 from spoor.sources.capture import Capture
@@ -49,5 +49,5 @@ def paired(raw: RawCapture, slice_seconds: int = HOUR) -> Capture:
     # A query may hold any number of writes, so its one execution is met by parts of them.
     context = texts.select(F.col("event_id").alias("query_id"), "thread_id", F.col("ts").alias("exec_ts"), "status", "sql_text")
     executed = spread_join(found, context, ["query_id"], salt).drop("query_id")
-    writes = executed.join(raw.commands, "write_id")
+    writes = executed.join(unbroadcast(raw.commands), "write_id")
     return Capture(writes, raw.inputs, raw.relation_columns, raw.projections, raw.projection_leaves)

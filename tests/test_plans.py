@@ -30,6 +30,20 @@ def test_no_cross_joins(spark, small_dir, name, no_broadcast):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+GROWING = [
+    *("column_edges", "column_entities", "column_lineage", "column_process_refs", "computed_columns"),
+    *("dependency_types", "entity_bundles", "normalized_lineage", "raw_capture_lineage", "hook_notifications"),
+    *("harvest_datasource_ctas", "harvest_hive_ctas", "harvest_hive_insert", "bundled_entities"),
+    *("direct_columns", "copied_columns", "unowned_entries", "direct_matches", "leaf_matches", "table_edges"),
+]
+
+
+@pytest.mark.parametrize("name", GROWING)
+def test_what_grows_is_not_broadcast(spark, small_dir, name):
+    # The test tables are far below Spark's own limit, so it would broadcast them all.
+    assert "Broadcast" not in plan(registry.QUERIES[name](spark, small_dir))
+
+
 def test_scans_read_only_what_is_needed(spark, small_dir):
     text = plan(table_lineage.table_edges(fx.writes(spark, small_dir), fx.inputs(spark, small_dir)))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
