@@ -1,6 +1,7 @@
 """What the plans look like, and that hot keys are spread and change nothing."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from captures import column, entry, leaf, records, write
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from spoor.operators import table_lineage, writes
 from spoor.operators.spread import BLOCK, position_block, spread_join
 from spoor.plans.harvest import harvest
-from spoor.sources.capture import unnest
+from spoor.sources.capture import nest, read_capture, unnest, write_capture
 from workload import fixtures as fx
 from workload import registry
 
@@ -44,6 +45,25 @@ def test_what_grows_is_not_broadcast(spark, small_dir, name):
     assert "Broadcast" not in plan(registry.QUERIES[name](spark, small_dir))
 
 
+def test_nesting_shuffles_what_is_stored_once(spark, tmp_path):
+    given = records(
+        spark,
+        write(1, inputs=[leaf(0, "S", [column(2, "b"), column(1, "a")])], projections=[entry(0, "a", 1, "f(a)", [2, 1])]),
+        write(2, inputs=[], projections=[]),
+    )
+    write_capture(unnest(given), str(tmp_path))
+    capture = read_capture(spark, str(tmp_path))
+    orphan = capture.relation_columns.withColumn("leaf_pos", F.lit(9))
+    again = nest(replace(capture, relation_columns=capture.relation_columns.unionByName(orphan)))
+    # By number: adaptive execution does not put them together.
+    text = plan(again)
+    assert text.count("REPARTITION_BY_NUM") == 3 and text.count("Exchange") == 3
+    found = {r.write_id: r for r in again.collect()}
+    assert [x.col_name for x in found[1].inputs[0].columns] == ["a", "b"] and len(found[1].inputs) == 1
+    assert [x.leaf_expr_id for x in found[1].projections[0].leaves] == [2, 1]
+    assert found[2].inputs == [] and found[2].projections == []
+
+
 def test_scans_read_only_what_is_needed(spark, small_dir):
     text = plan(table_lineage.table_edges(fx.writes(spark, small_dir), fx.inputs(spark, small_dir)))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
