@@ -45,6 +45,17 @@ def test_what_grows_is_not_broadcast(spark, small_dir, name):
     assert "Broadcast" not in plan(registry.QUERIES[name](spark, small_dir))
 
 
+@pytest.mark.parametrize("made", [fx.inputs, fx.relation_columns])
+def test_what_is_made_of_lines_keeps_its_partitions(spark, small_dir, made):
+    # Put together by compressed size, their sorted rows would take a task's memory.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = made(spark, small_dir)
+    # The one exchange is of the lines, not of groups that a file's split would hold.
+    text = plan(df)
+    assert text.count("Exchange") == 1 and "REPARTITION_BY_NUM" in text
+    assert df.rdd.getNumPartitions() == parts > 1
+
+
 def test_nesting_shuffles_what_is_stored_once(spark, tmp_path):
     given = records(
         spark,
