@@ -56,6 +56,11 @@ def test_what_is_made_of_lines_keeps_its_partitions(spark, small_dir, made):
     assert df.rdd.getNumPartitions() == parts > 1
 
 
+def test_entries_are_grouped_in_the_partitions_given(spark, small_dir):
+    text = plan(registry.QUERIES["direct_columns"](spark, small_dir))
+    assert re.search(r"hashpartitioning\(write_id#\d+L, _block#\d+L, \d+\), REPARTITION_BY_NUM", text)
+
+
 def test_nesting_shuffles_what_is_stored_once(spark, tmp_path):
     given = records(
         spark,
