@@ -11,7 +11,7 @@ from spoor.operators.spread import BLOCK, position_block, spread_join
 from spoor.plans.harvest import harvest
 from spoor.sources.capture import nest, read_capture, unnest, write_capture
 from workload import fixtures as fx
-from workload import registry
+from workload import message_queries, registry
 
 
 def plan(df):
@@ -45,6 +45,18 @@ def test_what_grows_is_not_broadcast(spark, small_dir, name):
     assert "Broadcast" not in plan(registry.QUERIES[name](spark, small_dir))
 
 
+def test_what_is_published_is_not_broadcast(spark, small_dir, monkeypatch):
+    # The query's own plan begins at the outbox.
+    sent = []
+    monkeypatch.setattr(message_queries, "received", lambda _, msgs: sent.append(msgs) or _whole(msgs))
+    registry.QUERIES["published_lineage"](spark, small_dir)
+    assert [df for df in sent if "Broadcast" in plan(df)] == [] != sent
+
+
+def _whole(msgs):
+    return msgs.selectExpr("msg_key AS key", "'t' AS topic", "value AS msg_json")
+
+
 @pytest.mark.parametrize("made", [fx.inputs, fx.relation_columns])
 def test_what_is_made_of_lines_keeps_its_partitions(spark, small_dir, made):
     # Put together by compressed size, their sorted rows would take a task's memory.

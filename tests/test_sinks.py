@@ -1,8 +1,11 @@
 """Publishing: options, outbox, retry, dead letters."""
 
+from functools import partial
+
 import pytest
 from spoor import constants as c
 from spoor.sinks import publish as sinks
+from workload import message_queries
 
 PREFIX = c.KAFKA_OPTION_PREFIX
 
@@ -87,3 +90,13 @@ def test_in_key_order(spark):
     for part in ordered.rdd.glom().collect():
         assert part == sorted(part, key=lambda r: (r.msg_key, r.at))
     assert ordered.count() == 300
+
+
+def test_what_was_not_sent_is_not_read_as_an_outbox(spark, msgs, monkeypatch):
+    def broken(records):
+        raise RuntimeError("broker away")
+
+    monkeypatch.setattr(message_queries, "publish", partial(sinks.publish, attempts=1))
+    monkeypatch.setattr(message_queries, "file_sink", lambda folder: broken)
+    with pytest.raises(RuntimeError, match="not sent"):
+        message_queries.received(spark, msgs)
