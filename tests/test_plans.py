@@ -11,7 +11,7 @@ from spoor.operators.spread import BLOCK, position_block, spread_join
 from spoor.plans.harvest import harvest
 from spoor.sources.capture import nest, read_capture, unnest, write_capture
 from workload import fixtures as fx
-from workload import message_queries, registry
+from workload import message_queries, registry, stream_queries
 
 
 def plan(df):
@@ -57,6 +57,20 @@ def _whole(msgs):
     return msgs.selectExpr("msg_key AS key", "'t' AS topic", "value AS msg_json")
 
 
+def test_what_is_stored_is_not_broadcast(spark, small_dir, monkeypatch):
+    # The query's own plan begins at the stored tables.
+    stored, write = [], stream_queries.write_capture
+
+    def checked(capture, path):
+        stored.extend([capture.writes, capture.inputs, capture.relation_columns])
+        stored.extend([capture.projections, capture.projection_leaves])
+        write(capture, path)
+
+    monkeypatch.setattr(stream_queries, "write_capture", checked)
+    found = registry.QUERIES["stored_capture_lineage"](spark, small_dir)
+    assert [df for df in [*stored, found] if "Broadcast" in plan(df)] == [] and len(stored) == 5
+
+
 @pytest.mark.parametrize("made", [fx.inputs, fx.relation_columns])
 def test_what_is_made_of_lines_keeps_its_partitions(spark, small_dir, made):
     # Put together by compressed size, their sorted rows would take a task's memory.
