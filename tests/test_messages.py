@@ -217,3 +217,38 @@ def test_clean_list(spark, texts):
 def test_clean_list_of_null(spark):
     frame = spark.createDataFrame([(None,)], "csv string")
     assert messages.clean_list(frame, "csv").first().entries == []
+
+
+def test_whole_messages_that_came_once_are_not_shuffled(spark):
+    def part(msg_id, index, count, text):
+        body = base64.b64encode(text.encode()).decode()
+        return F.to_json(
+            F.struct(
+                msg_id.alias("msgId"),
+                F.lit("NONE").alias("msgCompressionKind"),
+                F.lit(index).alias("msgSplitIdx"),
+                F.lit(count).alias("msgSplitCount"),
+                F.lit(body).alias("message"),
+            )
+        )
+
+    name = F.concat(F.lit("m"), F.col("id"))
+    asked = [
+        ("id < 40", part(name, 1, 1, "alone")),
+        ("id < 3", part(F.concat(F.lit("twice"), "id"), 1, 1, "again")),
+        ("id < 3", part(F.concat(F.lit("twice"), "id"), 1, 1, "again")),
+        ("id < 3", part(F.concat(F.lit("other"), "id"), 1, 1, "one")),
+        ("id < 3", part(F.concat(F.lit("other"), "id"), 1, 1, "two")),
+        ("id < 3", part(F.concat(F.lit("split"), "id"), 0, 2, "first,")),
+        ("id < 3", part(F.concat(F.lit("split"), "id"), 1, 2, "second")),
+        ("id < 3", part(F.concat(F.lit("half"), "id"), 0, 2, "first")),
+    ]
+    values = F.filter(F.array(*[F.when(F.expr(given), value) for given, value in asked]), lambda x: x.isNotNull())
+    sent = spark.range(0, 40, 1, 4).withColumn("task", F.spark_partition_id())
+    parts = messages.read_parts(sent.select("task", F.explode(values).alias("value")))
+    back = messages.reassemble(parts, ["task"]).withColumn("now", F.spark_partition_id()).collect()
+    expected = {f"m{k}": "alone" for k in range(40)}
+    expected |= {f"twice{k}": "again" for k in range(3)} | {f"split{k}": "first,second" for k in range(3)}
+    assert sorted((r.msg_id, r.msg_json) for r in back) == sorted(expected.items())
+    # Where they were read, but for those whose hash one of the others has.
+    assert sum(r.now == r.task for r in back if r.msg_id.startswith("m")) >= 38

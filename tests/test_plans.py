@@ -1,6 +1,7 @@
 """What the plans look like, and that hot keys are spread and change nothing."""
 
 import re
+import time
 from dataclasses import replace
 
 import pytest
@@ -8,7 +9,9 @@ from captures import column, entry, leaf, records, write
 from pyspark.sql import functions as F
 from spoor.operators import table_lineage, writes
 from spoor.operators.spread import BLOCK, position_block, spread_join
+from spoor.plans import harvest as harvest_plans
 from spoor.plans.harvest import harvest
+from spoor.session import CLEANUP, written
 from spoor.sources.capture import nest, read_capture, unnest, write_capture
 from workload import fixtures as fx
 from workload import message_queries, registry, stream_queries
@@ -53,6 +56,43 @@ def test_what_is_published_is_not_broadcast(spark, small_dir, monkeypatch):
     assert [df for df in sent if "Broadcast" in plan(df)] == [] != sent
 
 
+def test_publishing_has_no_shuffle_of_the_harvest_behind_it(spark, small_dir, monkeypatch):
+    sent, stored = [], []
+    monkeypatch.setattr(message_queries, "received", lambda _, msgs: sent.append(msgs) or _whole(msgs))
+    monkeypatch.setattr(harvest_plans, "written", lambda df, folder: stored.append(df) or written(df, folder))
+    registry.QUERIES["published_lineage"](spark, small_dir)
+    assert "Exchange" not in plan(sent[0])
+    assert "Exchange" in plan(stored[0]) and "Broadcast" not in plan(stored[0])
+
+
+def _shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles())}
+
+
+def test_what_is_written_leaves_no_shuffle_files(spark, tmp_path):
+    before = _shuffle_files(spark)
+    dealt = spark.range(1000).repartition(4, "id")
+    again = written(dealt, str(tmp_path / "out"))
+    for _ in range(50):
+        left = {name for name in _shuffle_files(spark) - before if name.startswith("shuffle_")}
+        if not left:
+            break
+        time.sleep(0.2)
+    assert left == set() and again.count() == 1000
+    assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_both_branches_share_the_shuffle_of_the_columns(spark, small_dir, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(registry.QUERIES["entity_bundles"](spark, small_dir))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # One for the relations, one for their columns.
+    assert len(re.findall(r"- Exchange hashpartitioning\(l_orderkey#\d+L, l_linenumber#\d+, ", text)) == 2
+
+
 def _whole(msgs):
     return msgs.selectExpr("msg_key AS key", "'t' AS topic", "value AS msg_json")
 

@@ -100,3 +100,9 @@ def test_what_was_not_sent_is_not_read_as_an_outbox(spark, msgs, monkeypatch):
     monkeypatch.setattr(message_queries, "file_sink", lambda folder: broken)
     with pytest.raises(RuntimeError, match="not sent"):
         message_queries.received(spark, msgs)
+
+
+def test_published_files_are_entropy_coded(spark, msgs, tmp_path):
+    path = tmp_path / "outbox"
+    assert sinks.publish(msgs, sinks.file_sink(str(path)))
+    assert [f.name for f in path.glob("part-*") if not f.name.endswith(".zstd.parquet")] == []
