@@ -1,12 +1,16 @@
 """Streams: replay, state across batches, dedupe, and the batch result."""
 
+import threading
 from datetime import timedelta
 
 import pytest
 from captures import AT, entry, records, write
+from pyspark.sql import functions as F
 from spoor.sinks.publish import file_sink
 from spoor.sources.capture import stream_capture
 from spoor.streaming import lineage, statements
+from workload import fixtures as fx
+from workload import stream_queries
 
 
 def columns_in(spark, path):
@@ -144,3 +148,65 @@ def test_last_text_is_kept_between_batches(spark, tmp_path, replay):
     found = {r.event_id: r.sql_text for r in out.collect()}
     assert found == {2: "a", 3: None, 4: "a", 6: "b", 7: None, 8: "b"}
     assert set(out.columns) >= {"event_id", "thread_id", "ts", "status", "sql_text"}
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_only_a_batch_with_repeats_is_shuffled(spark, tmp_path, repeats):
+    folder, plans = str(tmp_path), []
+    given = [write(k, projections=[entry(0, "Id", 1)]) for k in range(3)]
+    if repeats:
+        given.append(write(1, exec_ts=AT + timedelta(minutes=1), out_table="Later"))
+    records(spark, *given).write.parquet(f"{folder}/in")
+
+    def look(result, batch_id):
+        plans.append(result.column_lineage._jdf.queryExecution().executedPlan().toString())
+
+    lineage.harvest_stream(
+        stream_capture(spark, f"{folder}/in"),
+        [look, lineage.lineage_tables(f"{folder}/out")],
+        f"{folder}/staging",
+        f"{folder}/checkpoint",
+    ).awaitTermination()
+    assert ["Exchange" in text for text in plans] == [repeats]
+    found = columns_in(spark, f"{folder}/out/column_lineage")
+    assert found == [(k, "mart.Out.id@5k", 0) for k in range(3)]
+
+
+def test_jobs_of_a_batch_run_side_by_side(spark):
+    # Each waits for the other; one after the other they would not get past this.
+    meet, done = threading.Barrier(2, timeout=30), []
+
+    def fails():
+        meet.wait()
+        raise ValueError("broken")
+
+    def works():
+        meet.wait()
+        done.append(spark.sparkContext.getLocalProperty("spoor.test"))
+
+    spark.sparkContext.setLocalProperty("spoor.test", "batch")
+    try:
+        with pytest.raises(ValueError, match="broken"):
+            lineage.at_once(spark, fails, works)
+    finally:
+        spark.sparkContext.setLocalProperty("spoor.test", None)
+    assert done == ["batch"]
+
+
+def test_records_of_a_stream_are_in_few_files(spark, small_dir, tmp_path, monkeypatch):
+    read = []
+    monkeypatch.setattr(stream_queries, "stream_capture", lambda _, path, **options: read.append((path, options)))
+    cores, parts = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(20 * cores))
+    try:
+        stream_queries._records(spark, small_dir, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    ((path, options),) = read
+    stored = spark.read.parquet(path)
+    assert options == {"maxFilesPerTrigger": 4} and len(stored.inputFiles()) <= 2 * cores
+    assert sorted(r.write_id for r in stored.select("write_id").collect()) == sorted(
+        r.write_id for r in fx.writes(spark, small_dir).select("write_id").collect()
+    )
+    entries = stored.select(F.sum(F.size("projections")).alias("n")).first().n
+    assert entries == fx.projections(spark, small_dir).count() > 0
